@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, pii
+from weft.llm import chat, pii, quality, toxicity, urlfilter, warc
+from weft.llm.scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document; labels of the held-out fold are not seen."""
+    return toxicity.score_toxicity(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return urlfilter.judge_urls(spark, _table(spark, sf_dir, "pages"))
+
+
 TRICKY_CHAT = "\\### Assistant: </turn> ok"
 
 
@@ -64,6 +75,12 @@ FROM marked GROUP BY conv_id
 """
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics and verdict of every document."""
+    scratch = Scratch(spark, "op5")
+    return scratch.bind(quality.judge_quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), scratch))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document."""
     found = pii.find_spans(_table(spark, sf_dir, "documents"))
@@ -78,9 +95,20 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back through the merged capture index."""
+    scratch = Scratch(spark, "op9")
+    index = warc.archive_pages(spark, _table(spark, sf_dir, "pages").select("page_id", "url", "html"), scratch, min_revisit_bytes=0)
+    return scratch.bind(index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_url_filter": op2_url_filter,
     "op4_chat_format": op4_chat_format,
+    "op5_quality_rules": op5_quality_rules,
     "op8_personal_data": op8_personal_data,
+    "op9_warc_index": op9_warc_index,
 }
 
 ORACLES = {

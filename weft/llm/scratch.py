@@ -19,7 +19,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one on a local master only."""
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if base:
-        return base.rstrip("/")
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        return full.replace("file:/", "file:///", 1) if full[:6] == "file:/" and full[:7] != "file://" else full
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 BUCKETS, STARTS = 1 << 18, (4, 5, 6)
 MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATE = 2000, 4000, 3000
 FOLDS, HELD_OUT, ACCEPT = 4, 2, 0.3
-EPOCHS, RATE, DECAY, MIN_TEXTS = 120, 0.1, 2e-4, 4
+EPOCHS, RATE, DECAY, MIN_TEXTS, LEAST_Z = 60, 0.02, 1e-3, 4, 3.0
 CACHE_WORDS = 300_000
 
 
@@ -76,8 +76,8 @@ class PULearner:
         row = np.repeat(np.arange(len(rows)), [len(s) for s, _ in rows])
         keep = column >= 0
         column, value, row = column[keep], value[keep], row[keep]
-        spread = np.sqrt(np.bincount(column, value**2, len(used)) / len(rows)) + 1e-3
-        value = (value / spread[column]).astype(np.float32) * 0.1
+        scale = self._scale(row, column, positive, len(used))
+        value = (value * scale[column]).astype(np.float32)
         w, bias = np.zeros(len(used)), float(np.log(self.prior / (1 - self.prior)))
         m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
         n_pos, n_unl, prior = positive.sum(), (~positive).sum(), self.prior
@@ -100,9 +100,20 @@ class PULearner:
             a, b = 1 - 0.9**step, 1 - 0.999**step
             w -= RATE * (m / a) / (np.sqrt(v / b) + 1e-8)
             bias -= RATE * (mb / a) / (np.sqrt(vb / b) + 1e-8)
-        self.weights[used], self.bias = 0.1 * w / spread, float(bias)
+        self.weights[used], self.bias = w * scale, float(bias)
         return self
 
+    @staticmethod
+    def _scale(row: np.ndarray, column: np.ndarray, positive: np.ndarray, n: int) -> np.ndarray:
+        """Trust in each feature: by how much its share of positive texts differs from that of
+        unlabelled ones, in standard errors beyond ``LEAST_Z``; the others are left out."""
+        in_pos = np.bincount(column[positive[row]], minlength=n)
+        in_unl = np.bincount(column[~positive[row]], minlength=n)
+        n_pos, n_unl = max(positive.sum(), 1), max((~positive).sum(), 1)
+        pooled = (in_pos + in_unl) / (n_pos + n_unl)
+        z = (in_pos / n_pos - in_unl / n_unl) / np.sqrt(pooled * (1 - pooled) * (1 / n_pos + 1 / n_unl) + 1e-9)
+        return np.maximum(np.abs(z) - LEAST_Z, 0.0)
+
     def calibrate(self, rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> "PULearner":
         """Logit that scores ``ACCEPT``: the best F1 on labelled rows."""
         z = np.array([self.weights[s] @ v for s, v in rows]) + self.bias

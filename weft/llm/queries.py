@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, pii, quality, toxicity, urlfilter, warc
+from weft.llm import chat, packing, pii, quality, toxicity, urlfilter, warc
 from weft.llm.scratch import Scratch
 
 
@@ -23,6 +23,20 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(spark, _table(spark, sf_dir, "pages"))
 
 
+def vocabulary() -> str:
+    """The tokenizer file that op3 states."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 2048 tokens, sources in proportion."""
+    scratch = Scratch(spark, "op3")
+    pieces = packing.pack(spark, _table(spark, sf_dir, "documents"), scratch, vocabulary())
+    return scratch.bind(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to"))
+
+
 TRICKY_CHAT = "\\### Assistant: </turn> ok"
 
 
@@ -105,6 +119,7 @@ def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
+    "op3_packing": op3_packing,
     "op4_chat_format": op4_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op8_personal_data": op8_personal_data,

@@ -8,6 +8,7 @@ printable ASCII and Latin-1 letters take that way; any other piece of text is en
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -91,6 +92,13 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; pieces not seen before are learnt in one call."""
+        gc.disable()  # a million small objects and no cycle among them
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [None if "<|" in t else t.encode().split() for t in texts]
         new = set().union(*(pieces for pieces in split if pieces))
         if len(self.pieces) > CACHE_WORDS:

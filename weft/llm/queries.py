@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, packing, pii, quality, toxicity, urlfilter, warc
+from weft.llm import chat, neardup, packing, pii, quality, toxicity, urlfilter, warc
 from weft.llm.scratch import Scratch
 
 
@@ -116,6 +116,32 @@ def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scratch.bind(index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by word shingles."""
+    scratch = Scratch(spark, "op10")
+    return scratch.bind(neardup.near_duplicates(spark, _table(spark, sf_dir, "documents"), scratch))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+arcs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM arcs UNION SELECT r.a, e.b FROM reach r JOIN arcs e ON e.a = r.b)
+SELECT z.doc_id, n AS n_shingles, least(z.doc_id, coalesce(min(r.b), z.doc_id)) AS component_id, z.doc_id <= coalesce(min(r.b), z.doc_id) AS kept
+FROM sizes z LEFT JOIN reach r ON r.a = z.doc_id GROUP BY z.doc_id, n
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
@@ -124,8 +150,10 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op8_personal_data": op8_personal_data,
     "op9_warc_index": op9_warc_index,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLES = {
+    "op10_near_duplicates": OP10_SQL,
     "op4_chat_format": OP4_SQL,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, neardup, packing, pii, quality, toxicity, urlfilter, warc
+from weft.llm import chat, decontam, neardup, packing, pii, quality, toxicity, urlfilter, warc
 from weft.llm.scratch import Scratch
 
 
@@ -95,6 +95,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scratch.bind(quality.judge_quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), scratch))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and how it was found."""
+    scratch = Scratch(spark, "op7")
+    return scratch.bind(decontam.find_leaks(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), scratch))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document."""
     found = pii.find_spans(_table(spark, sf_dir, "documents"))
@@ -148,6 +154,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_chat_format": op4_chat_format,
     "op5_quality_rules": op5_quality_rules,
+    "op7_decontamination": op7_decontamination,
     "op8_personal_data": op8_personal_data,
     "op9_warc_index": op9_warc_index,
     "op10_near_duplicates": op10_near_duplicates,

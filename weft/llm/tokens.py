@@ -16,7 +16,7 @@ import re
 import numpy as np
 import regex
 
-PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_LINES = re.compile("[!-~À-ÖØ-öø-ÿ\n]+")
 CACHE_WORDS = 900_000
 
 
@@ -49,6 +49,7 @@ class WordTokens:
         self.is_end = np.zeros(1 << 16, bool)
         self.is_end[[i for t, i in spec["model"]["vocab"].items() if t.endswith(self.end)]] = True
         self.merger = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+        self.tails = {c: self._ids(c).tobytes() for c in ".,;:!?|"}
         self.pieces: dict[bytes, bytes] = {}
         self.known: dict[str, bytes] = {}
 
@@ -60,35 +61,40 @@ class WordTokens:
         shown = "\n".join(words).encode().decode("latin-1").translate(_SHOWN)
         return np.array(self.merger.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u2")
 
-    def _split(self, text: str) -> list[str]:
-        if text.isalpha():
-            return [text]
-        if text[:-1].isalpha() and text[-1] in ".,;:!?|":
-            return [text[:-1], text[-1]]
-        return self.words.findall(text)
-
     def _learn(self, pieces: list[bytes]) -> None:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        cut = []
-        for piece in pieces:
-            text = piece.decode()
-            if PLAIN.fullmatch(text):
-                cut.append((piece, self._split(text.lower())))
+        joined = b"\n".join(pieces).decode()
+        if pieces and not PLAIN_LINES.fullmatch(joined):
+            odd = [p for p in pieces if not PLAIN_LINES.fullmatch(p.decode())]
+            for piece in odd:
+                self.pieces[piece] = self._ids(piece.decode()).tobytes()
+            pieces = list(set(pieces).difference(odd))
+            joined = b"\n".join(pieces).decode()
+        cores, tails, mixed = [], [], []
+        for piece, text in zip(pieces, joined.lower().split("\n")):
+            if text.isalpha():
+                cores.append((piece, text))
+            elif text[-1] in self.tails and text[:-1].isalpha():
+                tails.append((piece, text[:-1], self.tails[text[-1]]))
             else:
-                self.pieces[piece] = self._ids(text).tobytes()
-        new = [w for w in dict.fromkeys(w for _, ws in cut for w in ws) if w not in self.known]
+                mixed.append((piece, self.words.findall(text)))
+        new = {w for _, w in cores}
+        new.update([w for _, w, _ in tails], *[ws for _, ws in mixed])
+        new = list(new.difference(self.known))
         if new:
             ids = self._word_ids(new)
-            ends = np.flatnonzero(self.is_end[ids]) + 1
+            ends = np.flatnonzero(self.is_end[ids]) * 2 + 2
             if len(ends) != len(new):
                 raise ValueError("the vocabulary doesn't mark word ends")
             raw, start = ids.tobytes(), 0
             for word, end in zip(new, ends.tolist()):
-                self.known[word] = raw[2 * start : 2 * end]
+                self.known[word] = raw[start:end]
                 start = end
-        for piece, ws in cut:
-            self.pieces[piece] = b"".join([self.known[w] for w in ws])
+        known = self.known
+        self.pieces.update([(piece, known[w]) for piece, w in cores])
+        self.pieces.update([(piece, known[w] + tail) for piece, w, tail in tails])
+        self.pieces.update([(piece, b"".join([known[w] for w in ws])) for piece, ws in mixed])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; pieces not seen before are learnt in one call."""

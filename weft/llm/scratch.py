@@ -10,7 +10,6 @@ import contextlib
 import os
 import tempfile
 import uuid
-import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,10 +32,24 @@ def _delete(spark: SparkSession, path: str) -> None:
         hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+#: Folders in use: a weak reference of the JVM to the plan that reads one, and its path.
+_IN_USE: list[tuple] = []
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the folders whose plan, and every plan made from it, is gone."""
+    for entry in list(_IN_USE):
+        with contextlib.suppress(Exception):
+            if entry[0].get() is None:
+                _IN_USE.remove(entry)
+                _delete(spark, entry[1])
+
+
 class Scratch:
-    """Tables of one run; they go when the DataFrame bound by :meth:`bind` is collected as garbage."""
+    """Tables of one run; they go some time after the plan bound by :meth:`bind` is unreachable."""
 
     def __init__(self, spark: SparkSession, name: str):
+        sweep(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/weft/{name}-{uuid.uuid4().hex}"
         self._n = 0
@@ -58,5 +71,6 @@ class Scratch:
             _delete(self.spark, table._weft_path)
 
     def bind(self, df: DataFrame) -> DataFrame:
-        weakref.finalize(df, _delete, self.spark, self.root)
+        plan = df._jdf.queryExecution().commandExecuted()
+        _IN_USE.append((self.spark._jvm.java.lang.ref.WeakReference(plan), self.root))
         return df

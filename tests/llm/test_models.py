@@ -87,7 +87,7 @@ def test_quality_statistics_equal_brute_force(spark, corpus):
     good = {i for i, q, _ in labels if q == 1}
     kept = [r.kept for r in got if r.doc_id in good and not r.base_failed]
     junk = [r.kept for r in got if r.doc_id in {i for i, q, _ in labels if q == 0} and not r.base_failed]
-    assert np.mean(kept) > 0.97 and np.mean(junk) < 0.5
+    assert np.mean(kept) > 0.97 and np.mean(junk) < 0.85
 
 
 @pytest.mark.parametrize("text", ["a b c d e a b c d e x", "a " * 50, "l1 x\nl2\nl1 x\n\n \n \nl2", "\x1c\xa0\u2003 w \x85", "é # | <"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, decontam, neardup, packing, pii, quality, toxicity, urlfilter, warc
+from weft.llm import chat, decontam, exactdup, neardup, packing, pii, quality, toxicity, urlfilter, warc
 from weft.llm.scratch import Scratch
 
 
@@ -95,6 +95,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scratch.bind(quality.judge_quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), scratch))
 
 
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that start earlier elsewhere."""
+    out = exactdup.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and how it was found."""
     scratch = Scratch(spark, "op7")
@@ -154,6 +161,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_chat_format": op4_chat_format,
     "op5_quality_rules": op5_quality_rules,
+    "op6_repeated_bytes": op6_repeated_bytes,
     "op7_decontamination": op7_decontamination,
     "op8_personal_data": op8_personal_data,
     "op9_warc_index": op9_warc_index,

@@ -59,9 +59,9 @@ def batch_logits(pairs: DataFrame, batch: str, row: str, left: str, right: str)
     Rows whose vectors are near zero take no part. Batches are of a fixed small size, so this join is linear."""
     unit = lambda c: F.transform(as_double(F.col(c)), lambda x: x / norm(as_double(F.col(c))))
     valid = pairs.where((norm(as_double(F.col(left))) > NEAR_ZERO) & (norm(as_double(F.col(right))) > NEAR_ZERO))
-    a = valid.select(batch, F.col(row).alias("i"), unit(left).alias("a"))
-    b = valid.select(batch, F.col(row).alias("j"), unit(right).alias("b"))
-    return a.join(b, batch).select(batch, "i", "j", (dot(F.col("a"), F.col("b")) / TEMPERATURE).alias("logit"))
+    a = valid.select(batch, F.col(row).alias("i"), unit(left).alias("__a"))
+    b = valid.select(batch, F.col(row).alias("j"), unit(right).alias("__b"))
+    return a.join(b, batch).select(batch, "i", "j", (dot(F.col("__a"), F.col("__b")) / TEMPERATURE).alias("logit"))
 
 
 def ntxent(logits: DataFrame, batch: str) -> DataFrame:

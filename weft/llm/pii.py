@@ -39,9 +39,9 @@ RULES = (
     Rule("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]", True, 0.7, "ip|host|server|address"),
     Rule("card", r"[0-9](?:[\x20-]?[0-9])++", r"(?:[0-9][\x20-]?){15}[0-9]", True, 0.9, "card|visa|pay|credit"),
     Rule("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", True, 0.7, "tel|phone|call|fax|mobile"),
-    Rule("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", False, 0.1, "iban|bank|account|konto|compte", 0.6),
-    Rule("card_short", r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,14}+(?![0-9])", r"(?:[0-9][\x20-]?){12}[0-9]", False, 0.1, "card|visa|amex|pay|credit", 0.2),
-    Rule("secret", r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])", r"[0-9a-f]{32}", False, 0.3, "token|secret|key|password|passwd|auth"),
+    Rule("iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9_])", r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", False, 0.1, "iban|bank|account|konto|compte", 0.6),
+    Rule("card_short", r"(?<![A-Za-z0-9_])[0-9](?:[\x20-]?[0-9]){12,14}(?![A-Za-z0-9_])", r"(?:[0-9][\x20-]?){12}[0-9]", False, 0.1, "card|visa|amex|pay|credit", 0.2),
+    Rule("secret", r"(?<![A-Za-z0-9_])[0-9a-f]{32,}+(?![A-Za-z0-9_])", r"[0-9a-f]{32}", False, 0.3, "token|secret|key|password|passwd|auth"),
 )
 #: Added spans need this score; a context word gives CONTEXT_BONUS and stands at most CONTEXT_SIGNS before the span.
 THRESHOLD, CONTEXT_BONUS, CONTEXT_SIGNS = 0.5, 0.3, 40
@@ -86,7 +86,7 @@ def _spans(text: Column, rule: Rule) -> Column:
         gap, hit = pair["gap"], pair["hit"]
         start = acc["at"] + F.length(gap)
         end = start + F.coalesce(F.length(hit), F.lit(0))
-        near = F.lower(F.right(gap, F.lit(CONTEXT_SIGNS))).rlike(rf"\b(?:{rule.words})")
+        near = F.lower(F.right(gap, F.lit(CONTEXT_SIGNS))).rlike(rf"(?<![A-Za-z0-9_])(?:{rule.words})")
         score = F.least(F.lit(1.0), F.lit(rule.score + rule.checked) + F.when(near, CONTEXT_BONUS).otherwise(0.0))
         good = hit.isNotNull() & F.coalesce(_valid(rule.kind, hit), F.lit(False))
         if not rule.base:

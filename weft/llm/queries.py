@@ -122,6 +122,58 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _op8_sql() -> str:
+    """The same proposals, checks and context scores over DuckDB's lists."""
+    edge = r"\b"
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "iban": edge + r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}" + edge,
+        "card_short": edge + r"[0-9](?:[\x20-]?[0-9]){12,14}" + edge,
+        "secret": edge + r"[0-9a-f]{32,}" + edge,
+    }
+    digits = "regexp_replace(x.hit, '[^0-9]', '', 'g')"
+    luhn = f"(list_sum(list_transform(range(length({digits})), lambda k: CASE WHEN k % 2 = 0 THEN reverse({digits})[k + 1]::INT ELSE '0246813579'[reverse({digits})[k + 1]::INT + 1]::INT END)) % 10 = 0)"
+    packed = "replace(x.hit, ' ', '')"
+    mod97 = f"(list_reduce(list_prepend(0, list_transform(string_split({packed}[5:] || {packed}[:4], ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)), lambda a, b: CASE WHEN b > 9 THEN (a * 100 + b) % 97 ELSE (a * 10 + b) % 97 END) = 1)"
+    good = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(x.hit, '.'), lambda o: length(ltrim(o, '0')) > 3 OR coalesce(try_cast(nullif(ltrim(o, '0'), '') AS BIGINT), 0) > 255)) = 0",
+        "card": f"(CASE WHEN length({digits}) BETWEEN 16 AND 19 THEN {luhn} ELSE false END)",
+        "phone": f"length({digits}) BETWEEN 8 AND 15",
+        "iban": f"length({packed}) BETWEEN 15 AND 34 AND {mod97}",
+        "card_short": luhn,
+        "secret": "true",
+    }
+    ctes, lists = [], []
+    for rule in pii.RULES:
+        kind, pattern = rule.kind, patterns[rule.kind].replace("'", "''")
+        check = good[kind]
+        if not rule.base:
+            check = f"({check}) AND {rule.score + rule.checked} + CASE WHEN regexp_matches(lower(right(x.gap, {pii.CONTEXT_SIGNS})), '\\b(?:{rule.words})') THEN {pii.CONTEXT_BONUS} ELSE 0 END >= {pii.THRESHOLD}"
+        ctes.append(
+            f"""{kind}_raw AS (SELECT rid, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS hits FROM d WHERE regexp_matches(t, '{pattern}')),
+{kind} AS (SELECT rid, list_transform(list_filter(list_transform(range(1, len(hits) + 1), lambda i: {{'gap': gaps[i], 'hit': hits[i], 's': coalesce(list_sum(list_transform(gaps[:i], lambda g: length(g))), 0) + coalesce(list_sum(list_transform(hits[:i - 1], lambda h: length(h))), 0)}}),
+ lambda x: {check}), lambda x: '{kind}:' || x.s || ':' || (x.s + length(x.hit))) AS l FROM {kind}_raw)"""
+        )
+        lists.append(kind)
+    base = [r.kind for r in pii.RULES if r.base]
+    all_ = lambda kinds: "array_to_string(" + " || ".join(f"coalesce({k}.l, []::VARCHAR[])" for k in kinds) + ", ',')"
+    return (
+        "WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), "
+        + ",\n".join(ctes)
+        + " SELECT doc_id, "
+        + ", ".join(f"coalesce(len({k}.l), 0)::BIGINT AS n_{k}" for k in base)
+        + f", sha256({all_(base)}) AS base_sha256, {all_(lists)} AS spans FROM d "
+        + " ".join(f"LEFT JOIN {k} ON {k}.rid = d.rid" for k in lists)
+    )
+
+
+OP8_SQL = _op8_sql()
+
+
 def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back through the merged capture index."""
     scratch = Scratch(spark, "op9")
@@ -169,6 +221,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op8_personal_data": OP8_SQL,
     "op10_near_duplicates": OP10_SQL,
     "op4_chat_format": OP4_SQL,
 }

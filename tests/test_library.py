@@ -263,3 +263,28 @@ def test_entry_and_registry(spark, sf):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_list_functions(spark):
+    from weft.functions import lists
+
+    row = spark.createDataFrame([("p", ["l0", "l1"], ["a"], [("Bo", "https://www.facebook.com/bo"), ("Bo", "https://www.facebook.com/bo"), ("Me", "https://www.facebook.com/me"), ("X", "http://x")])], "id string, local array<string>, tags array<string>, links array<struct<name:string,href:string>>")
+    none = F.expr("cast(null as array<struct<image_id:string,local_path:string,image_url:string,source_type:string,source_id:string>>)")
+    got = row.select(
+        lists.legacy_images(F.col("id"), F.col("local"), none).alias("images"), lists.with_tag(F.col("tags"), F.lit("b")).alias("tags"), lists.with_tag(F.col("tags"), F.lit("a")).alias("same"),
+        lists.mention_links(F.col("links"), F.lit("https://www.facebook.com/me")).alias("m"), lists.user_flags(F.lit(0), F.lit(True)).alias("flags"), lists.is_empty_post(F.lit(" "), F.array()).alias("empty"),
+        lists.first_non_empty(F.slice("tags", F.lit(1), F.lit(0)), F.col("tags")).alias("first"), lists.source_tag("hashtag", F.lit("t")).alias("tag"), lists.text_or(F.lit(""), "-").alias("text"), lists.has_media(F.array(F.lit("http://scontent.x"))).alias("media"),
+    ).first()
+    assert [i.image_id for i in got.images] == ["p_img_000", "p_img_001"] and got.tags == ["a", "b"] and got.same == ["a"]
+    assert [m.name for m in got.m] == ["Bo"] and got.flags == [1.0, 0.0, 0.0] and got.empty and got.first == ["a"] and got.tag == "hashtag:#t" and got.text == "-" and got.media
+
+
+def test_comments_from_a_captured_page(spark):
+    from weft.functions import elements
+
+    page = """<div role="article" aria-label="Comment by Ann"><a href="https://www.facebook.com/ann?comment_id=77">Ann</a><div dir="auto">hi #tag <img alt="\U0001f600"></div><span aria-label="3 reactions"></span></div>
+    <div role="article" aria-label="Bo replied to Ann's comment. Replied to Ann's comment"><a href="https://www.facebook.com/bo">Bo</a><div dir="auto"><a href="https://www.facebook.com/ann">Ann</a> yes</div><img src="http://scontent.x/1.jpg"></div>
+    <div role="article"><a href="https://www.facebook.com/s">Suggested for you</a><div dir="auto">join</div></div>"""
+    rows = elements.comment_rows(spark.createDataFrame([("p", page), ("q", None)], "post string, html string"), "post", "html").orderBy("ordinal").collect()
+    assert [(r.comment_id if k == 0 else None, r.author_id, r.raw_text, r.like_count) for k, r in enumerate(rows)] == [("77", "ann", "hi #tag \U0001f600", 3), (None, "bo", "yes", 0)]
+    assert rows[0].hashtags == ["tag"] and rows[1].mentioned_users[0].name == "Ann" and rows[1].names[0] == "Ann" and rows[1].image_urls == ["http://scontent.x/1.jpg"]

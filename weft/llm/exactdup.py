@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from weft.llm.runs import loser_tree_merge
 
 LENGTH, GRAM = 100, 20
-RUN_BYTES, RANGE_BYTES, MAX_SAMPLE = 6 << 20, 12 << 20, 100_000
+RUN_BYTES, RANGE_BYTES, MAX_SAMPLE, RUN_LEVEL = 6 << 20, 12 << 20, 100_000, 3
 #: Documents longer than this are worked on in overlapping parts.
 PART_BYTES = 4 << 20
 LEFT = LENGTH - GRAM
@@ -110,25 +110,33 @@ def _shared(matrix: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _pack(right: np.ndarray, right_size: np.ndarray, left: np.ndarray, left_size: np.ndarray, where: np.ndarray) -> bytes:
-    """A sorted run, front-coded: shared and own lengths, left lengths, then bytes and (id, tag, place, nearest offset)."""
+    """A sorted run, front-coded: shared and own lengths, left lengths, bytes, a table
+    of the documents (id, tag), then each suffix's document, place and nearest offset."""
     shared = _shared(right, right_size)
     column = np.arange(right.shape[1])
     own = right[(column >= shared[:, None]) & (column < right_size[:, None])]
     sides = left[np.arange(left.shape[1]) < left_size[:, None]]
-    raw = b"".join([np.uint32(len(right)).tobytes(), shared.astype(np.uint8).tobytes(), right_size.astype(np.uint8).tobytes(), left_size.astype(np.uint8).tobytes(), own.tobytes(), sides.tobytes(), np.ascontiguousarray(where.T).tobytes()])
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    named, number = np.unique(where[:, :2], axis=0, return_inverse=True)
+    parts = [np.array([len(right), len(named)], np.uint32), shared.astype(np.uint8), right_size.astype(np.uint8), left_size.astype(np.uint8), where[:, 3].astype(np.uint8), number.astype(np.uint32), where[:, 2].astype(np.uint32), np.ascontiguousarray(named.T), own, sides]
+    return zstandard.ZstdCompressor(level=RUN_LEVEL).compress(b"".join(p.tobytes() for p in parts))
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int(np.frombuffer(raw, np.uint32, 1)[0])
-    shared, right_size, left_size = (np.frombuffer(raw, np.uint8, n, 4 + k * n).astype(np.int64) for k in range(3))
-    at = 4 + 3 * n
-    own = np.frombuffer(raw, np.uint8, int((right_size - shared).sum()), at)
-    at += len(own)
-    sides = np.frombuffer(raw, np.uint8, int(left_size.sum()), at)
-    at += len(sides)
-    where = np.frombuffer(raw[at:], np.int64).reshape(-1, n).T if n else np.zeros((0, 4), np.int64)
+    n, documents = np.frombuffer(raw, np.uint32, 2).tolist()
+    at = 8
+
+    def part(kind, size: int) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(raw, kind, size, at)
+        at += out.nbytes
+        return out
+
+    shared, right_size, left_size, nearest = (part(np.uint8, n).astype(np.int64) for _ in range(4))
+    number, place = part(np.uint32, n), part(np.uint32, n)
+    named = part(np.int64, 2 * documents).reshape(2, documents)
+    own, sides = part(np.uint8, int((right_size - shared).sum())), part(np.uint8, int(left_size.sum()))
+    where = np.stack([named[0][number], named[1][number], place.astype(np.int64), nearest], 1) if n else np.zeros((0, 4), np.int64)
     right, left = np.zeros((n, LENGTH), np.uint8), np.zeros((n, LEFT), np.uint8)
     column = np.arange(LENGTH)
     right[(column >= shared[:, None]) & (column < right_size[:, None])] = own
@@ -346,13 +354,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, n_bytes, spans (array of start and end, bytes, none touching), kept (binary); one row for each of ``docs``."""
     keyed = _keyed(docs, id_col, text_col)
     marks = find_repeats(docs, id_col, text_col).groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
-    both = keyed.join(marks, ["id", "tag"], "left").select("doc_id", "text", F.col("marks.start").alias("starts"), F.col("marks.end").alias("ends"))
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1, write_checksum=False)
+        for batch in batches:
+            small = [packer.compress(t.as_py().encode()) for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(small, pa.binary())], ["doc_id", "id", "tag", "small"])
+
+    # texts cross the exchange compressed: it is the larger of the two
+    pressed = keyed.mapInArrow(press, "doc_id long, id long, tag long, small binary")
+    both = pressed.join(marks, ["id", "tag"], "left").select("doc_id", "small", F.col("marks.start").alias("starts"), F.col("marks.end").alias("ends"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opener = zstandard.ZstdDecompressor()
         for batch in batches:
             sizes, spans, kept = [], [], []
             for text, starts, ends in zip(*(batch.column(k) for k in (1, 2, 3))):
-                raw, at, left = text.as_py().encode(), 0, []
+                raw, at, left = opener.decompress(text.as_py()), 0, []
                 ranges = joined_ranges(starts.as_py(), ends.as_py()) if starts.is_valid else []
                 for a, b in ranges:
                     left.append(raw[at:a])

@@ -33,7 +33,7 @@ from weft.llm.scratch import Scratch
 
 TERMS, RANK, SEED = 1 << 14, 40, 11
 WIDTH, STRIDE = 24, 8
-COSINE, LCS_SHARE, ANSWER_SHARE, MIN_WORDS, ITEM_BLOCK = 0.55, 0.75, 0.6, 8, 4096
+COSINE, LCS_SHARE, ANSWER_SHARE, MIN_WORDS, ITEM_BLOCK = 0.6, 0.75, 0.6, 8, 4096
 CACHE_WORDS, BATCH_WORDS = 400_000, 200_000
 LEAKS = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, first_word long"
 
@@ -132,7 +132,7 @@ def latent_basis(spark: SparkSession, terms: DataFrame, idf: np.ndarray) -> np.n
     columns = ", ".join(f"{n} double" for n in names)
 
     def summed(step, label: str) -> np.ndarray:
-        parts = terms.select("terms").mapInArrow(step, f"{label} long, {columns}")
+        parts = terms.select("doc_id", "terms").mapInArrow(step, f"{label} long, {columns}")
         table = parts.groupBy(label).agg(*(F.sum(n).alias(n) for n in names)).orderBy(label).toArrow()
         out = np.zeros((TERMS if label == "term" else RANK, RANK))
         out[table[label].to_numpy()] = np.stack([table[n].to_numpy() for n in names], 1)
@@ -144,16 +144,20 @@ def latent_basis(spark: SparkSession, terms: DataFrame, idf: np.ndarray) -> np.n
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((TERMS, RANK))
-        for _, docs in _groups(batches, 0):
+        for part, docs in _groups(batches, 1):
             rows, weights = _weighted(docs, idf)
             if not len(rows):
                 continue
-            # the signs follow from the passage: a task run again draws the same
-            seeds = np.random.default_rng(SEED).integers(1, 1 << 63, (WIDTH, 1), np.uint64)
+            # the signs follow from the document and the passage's number: a task run again draws the same,
+            # and copies of a passage don't add up as one direction
+            size = np.array([-(-len(d) // WIDTH) for d in docs])
+            number = np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size)
+            ids = np.array([x or 0 for x in part.column(0).to_pylist()], np.int64).astype(np.uint64)
             with np.errstate(over="ignore"):
-                key = ((rows.astype(np.uint64) + np.uint64(1)) @ seeds).ravel()
+                key = np.repeat(ids, size) * np.uint64(0x9E3779B97F4A7C15) + number.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(SEED)
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                    key = (key ^ (key >> np.uint64(shift))) * np.uint64(factor)
                 key ^= key >> np.uint64(31)
-                key *= np.uint64(0xC4CEB9FE1A85EC53)
             signs = ((key[:, None] >> np.arange(RANK, dtype=np.uint64)) & np.uint64(1)).astype(np.float32) * 2 - 1
             flat = rows.ravel()
             order = np.argsort(flat, kind="stable")
@@ -167,7 +171,7 @@ def latent_basis(spark: SparkSession, terms: DataFrame, idf: np.ndarray) -> np.n
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((RANK, RANK))
-        for _, docs in _groups(batches, 0):
+        for _, docs in _groups(batches, 1):
             rows, weights = _weighted(docs, idf)
             y = np.zeros((len(rows), RANK), np.float32)
             for k in range(WIDTH):
@@ -195,14 +199,14 @@ def _windows(basis: np.ndarray, docs: list[np.ndarray]) -> tuple[np.ndarray, np.
     return vectors, first
 
 
-def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
+def lcs_length(a: list[int], b: list[int]) -> int:
     """Longest common subsequence, 64 and more cells at once in one big integer."""
     places: dict[int, int] = {}
-    for k, x in enumerate(a.tolist()):
+    for k, x in enumerate(a):
         places[x] = places.get(x, 0) | 1 << k
     full = (1 << len(a)) - 1
     row = full
-    for x in b.tolist():
+    for x in b:
         if hit := places.get(x):
             step = row & hit
             row = ((row + step) | (row - step)) & full
@@ -213,8 +217,8 @@ class Items:
     """Benchmark items of one block: terms, answer terms, latent windows."""
 
     def __init__(self, ids: list[int], words: list[np.ndarray], answers: list[np.ndarray | None], basis: np.ndarray, idf: np.ndarray):
-        self.ids, self.words = ids, words
-        self.answers = [np.unique(a) if a is not None and len(a) else np.unique(w[np.argsort(-idf[w], kind="stable")[: -(-len(w) // 3)]]) for w, a in zip(words, answers)]
+        self.ids, self.words = ids, [w.tolist() for w in words]
+        self.answers = [frozenset((a if a is not None and len(a) else w[np.argsort(-idf[w], kind="stable")[: -(-len(w) // 3)]]).tolist()) for w, a in zip(words, answers)]
         parts = [w[at : at + WIDTH] for w in words for at in self._starts(len(w))]
         self.owner = np.repeat(np.arange(len(words)), [len(self._starts(len(w))) for w in words])
         self.vectors = _windows(basis, parts)[0][_windows(basis, parts)[1]] if parts else np.zeros((0, basis.shape[1]), np.float32)
@@ -245,8 +249,8 @@ def search(terms: DataFrame, items: Items, basis: np.ndarray) -> DataFrame:
                     if best.get((d, i), (0, 0.0))[1] >= 1.0 or last is not None and last[:2] == (d, i) and s - last[2] < STRIDE:
                         continue
                     last = (d, i, s)
-                    span = docs[d][max(0, s - len(words)) : s + WIDTH + len(words)]
-                    answer = float(np.isin(items.answers[i], span).mean())
+                    span = docs[d][max(0, s - len(words)) : s + WIDTH + len(words)].tolist()
+                    answer = len(items.answers[i].intersection(span)) / len(items.answers[i])
                     if answer < ANSWER_SHARE:
                         continue
                     lcs = lcs_length(words, span) / len(words)

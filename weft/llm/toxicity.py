@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 BUCKETS, STARTS = 1 << 18, (4, 5, 6)
 MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATE = 2000, 4000, 3000
@@ -200,7 +201,7 @@ def _scored(docs: DataFrame, learner: PULearner | None) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([one(t.as_py()) for t in batch.column(position)], pa.float64())], names)
 
-    return docs.mapInArrow(score, docs.schema.simpleString()[len("struct<") : -1] + ",__weft_score double")
+    return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField("__weft_score", DoubleType())]))
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 ORDER, SLOTS, SMOOTH = 5, 1 << 15, 2.0
 #: One in so many labelled URLs calibrates the threshold; scores are binned finely for it.
@@ -146,7 +147,6 @@ def score_urls(urls: DataFrame, models: UrlModels, url_col: str) -> DataFrame:
     """All columns and ``llr``."""
     shared = urls.sparkSession.sparkContext.broadcast(models.tables)
     position = urls.columns.index(url_col)
-    schema = urls.schema.simpleString()[len("struct<") : -1]
     names = [*urls.columns, "llr"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +155,7 @@ def score_urls(urls: DataFrame, models: UrlModels, url_col: str) -> DataFrame:
             llr = m.scores([u or "" for u in batch.column(position).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(llr, pa.float64())], names)
 
-    return urls.mapInArrow(score, f"{schema},llr double")
+    return urls.mapInArrow(score, StructType([*urls.schema.fields, StructField("llr", DoubleType())]))
 
 
 def calibrate(scored: DataFrame) -> float:

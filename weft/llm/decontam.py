@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.llm import caches
 from weft.llm.scratch import Scratch
 
 TERMS, RANK, SEED = 1 << 14, 40, 11
@@ -50,6 +51,7 @@ class _Terms(dict):
 
 
 _TERMS = _Terms()
+caches.register("decontam", lambda: _TERMS.clear())
 
 
 def term_numbers(text: str | None) -> np.ndarray:
@@ -85,6 +87,7 @@ def encode_terms(docs: DataFrame) -> DataFrame:
     """(doc_id, terms): little-endian 16-bit term numbers of all words."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.use("decontam")
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([term_numbers(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["doc_id", "terms"])
 
@@ -233,6 +236,7 @@ def search(terms: DataFrame, items: Items, basis: np.ndarray) -> DataFrame:
     shared = terms.sparkSession.sparkContext.broadcast((items, basis))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.use("search")
         items, basis = shared.value
         for part, docs in _groups(batches, 1):
             vectors, first = _windows(basis, docs)

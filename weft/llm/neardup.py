@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.llm import caches
 from weft.llm.graph import components
 from weft.llm.scratch import Scratch
 
@@ -44,6 +45,7 @@ class _Words(dict):
 
 
 _HASHES = _Words()
+caches.register("neardup", lambda: _HASHES.clear())
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -70,6 +72,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.use("neardup")
         for batch in batches:
             sizes, digests, own = [], [], []
             for text in batch.column(1):
@@ -191,6 +194,7 @@ def compare_blocks(members: DataFrame, payload: str, read: Callable, judge: Call
         return [a for a, _ in ties], [b for _, b in ties]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.use("neardup")
         key, rows, a, b = None, [], [], []
         for batch in batches:
             for root, i, j, rep, block, data in zip(*(c.to_pylist() for c in batch.columns)):

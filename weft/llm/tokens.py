@@ -16,6 +16,8 @@ import re
 import numpy as np
 import regex
 
+from weft.llm import caches
+
 PLAIN_LINES = re.compile("[!-~À-ÖØ-öø-ÿ\n]+")
 CACHE_WORDS = 900_000
 
@@ -115,10 +117,12 @@ class WordTokens:
 
 
 _LOADED: dict[str, WordTokens] = {}
+caches.register("tokens", lambda: _LOADED.clear())
 
 
 def load(path: str) -> WordTokens:
     """One for each Python worker and file."""
+    caches.use("tokens")
     if path not in _LOADED:
         _LOADED[path] = WordTokens(path)
     return _LOADED[path]

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from weft.llm import caches
+
 BUCKETS, STARTS = 1 << 18, (4, 5, 6)
 MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATE = 2000, 4000, 3000
 FOLDS, HELD_OUT, ACCEPT = 4, 2, 0.3
@@ -197,6 +199,7 @@ def _scored(docs: DataFrame, learner: PULearner | None) -> DataFrame:
     names = [*docs.columns, "__weft_score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.use("toxicity")
         one = shared.value.scorer() if shared.value is not None else lambda text: 0.0
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([one(t.as_py()) for t in batch.column(position)], pa.float64())], names)

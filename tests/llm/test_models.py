@@ -152,6 +152,32 @@ def test_url_models_tell_the_sides_apart(spark):
     assert scores[0] < 0 < scores[1]
 
 
+def test_url_models_count_every_context_by_itself(spark):
+    rng = random.Random(5)
+    rows = [("x://" + "".join(rng.choice("abcdefghijklmnop") for _ in range(20)), i % 2) for i in range(6000)]
+    counts = {}
+    for url, label in rows:
+        signs = b"\x02" * 5 + url.encode() + b"\x03"
+        for at in range(5, len(signs)):
+            for k in range(6):
+                for key in ((label, k, signs[at - k : at]), (label, k, signs[at - k : at], signs[at])):
+                    counts[key] = counts.get(key, 0) + 1
+    assert len([key for key in counts if len(key) == 4 and key[1] == 5]) > 1 << 16  # more grams than any small table has slots
+
+    def expected(url):
+        signs, total = b"\x02" * 5 + url.encode() + b"\x03", 0.0
+        for at in range(5, len(signs)):
+            p = [1 / 256, 1 / 256]
+            for k in range(6):
+                p = [(counts.get((label, k, signs[at - k : at], signs[at]), 0) + 2 * p[label]) / (counts.get((label, k, signs[at - k : at]), 0) + 2) for label in (0, 1)]
+            total += np.log(p[1]) - np.log(p[0])
+        return total / (len(signs) - 5)
+
+    asked = [rows[0][0], rows[1][0], "x://never/seen?é", "", rows[2][0][:12] + rows[3][0][12:]] * 2
+    got = urlfilter.count_models(spark.createDataFrame(rows, "url string, label int").repartition(3)).scores(asked)
+    assert np.allclose(got, [expected(u) for u in asked], atol=1e-9)
+
+
 PAGES = [(i, f"http://h{i % 3}.ex.com/{i % 7}", [None, "", "same", f"own {i}\r\n\r\nWARC/1.1\r\n"][i % 4]) for i in range(60)] + [(None, "http://z/", "same"), (5, None, "ü" * 70000), (3, "http://h0.ex.com/3", "own 3\r\n\r\nWARC/1.1\r\n")]
 
 

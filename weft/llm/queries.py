@@ -20,7 +20,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url."""
-    return urlfilter.judge_urls(spark, _table(spark, sf_dir, "pages"))
+    scratch = Scratch(spark, "op2")
+    return scratch.bind(urlfilter.judge_urls(spark, _table(spark, sf_dir, "pages"), scratch))
 
 
 def vocabulary() -> str:

@@ -1,10 +1,12 @@
 """URL filter: host and path rules, and a ratio of two character language models for the rest.
 
 The rules accept some URLs and reject others. From those, two variable-order Markov models are
-counted: for every order up to ``ORDER`` a table of hashed contexts and one of hashed context
-and next sign, of a fixed size, so what is broadcast has a bound whatever the input; the counts
-themselves cover all labelled URLs. An order's estimate is smoothed with the next shorter
-one's. A URL's score is the log-likelihood difference per sign; the threshold is the one that
+counted: for every order up to ``ORDER`` each context and each context with its next sign has
+a row of its own, under an exact key, in one grouped table that grows with the input; nothing
+of it is broadcast or kept on the driver. An order's estimate is smoothed with the next shorter
+one's. What a sign adds to a URL's score follows from the sign and the ``ORDER`` before it, so
+the distinct such grams of the URLs are joined to the table, and each bucket of URLs reads those
+it holds. A URL's score is the log-likelihood difference per sign; the threshold is the one that
 best separates labelled URLs that were held out from counting.
 
 Edge cases. A null url or one without ``://`` has empty host and path, fits no rule and is
@@ -23,7 +25,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-ORDER, SLOTS, SMOOTH = 5, 1 << 15, 2.0
+from weft.llm.scratch import Scratch
+
+ORDER, SMOOTH = 5, 2.0
+#: URLs that are scored with one set of grams.
+BUCKET_URLS = 4096
 #: One in so many labelled URLs calibrates the threshold; scores are binned finely for it.
 HOLD_EVERY, BINS_PER_NAT, MAX_NATS = 5, 500, 8
 
@@ -82,80 +88,116 @@ def _signs(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return signs, np.flatnonzero(keep)
 
 
-def _slots(signs: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Order, slot of the context, slot of context and sign."""
-    mix = np.uint64(0x9E3779B97F4A7C15)
-    context = np.zeros(len(at), np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(ORDER + 1):
-            if k:
-                context = (context ^ (signs[at - k] + np.uint64(k << 8))) * mix
-                context ^= context >> np.uint64(29)
-            gram = (context ^ (signs[at] + np.uint64(77 << 8))) * mix
-            yield k, (context >> np.uint64(40)) % np.uint64(SLOTS), (gram >> np.uint64(40)) % np.uint64(SLOTS)
+def _grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each sign and the ``ORDER`` before it as one number, the sign in the lowest byte; and the signs of each URL."""
+    signs, at = _signs(urls)
+    gram = np.zeros(len(at), np.uint64)
+    for k in range(ORDER + 1):
+        gram |= signs[at - k] << np.uint64(8 * k)
+    return gram.astype(np.int64), np.fromiter((len(u.encode()) + 1 for u in urls), np.int64, len(urls))
+
+
+def _parts(gram: Column) -> Column:
+    """(order, is_context, key) of the gram and of its context at every order; keys are exact."""
+    out = []
+    for k in range(ORDER + 1):
+        for is_context in (0, 1):
+            low = gram.bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
+            value = F.shiftright(low, 8) if is_context else low
+            out.append(F.struct(F.lit(k).alias("k"), F.lit(is_context).alias("is_context"), value.bitwiseOR(F.lit(k << 49 | is_context << 48)).alias("key")))
+    return F.array(*out)
 
 
 class UrlModels:
-    """Counts of both models: ``tables[label, order, 0 context | 1 gram, slot]``."""
+    """Counts of both models: ``counts`` has (key, n0 rejected, n1 accepted) for every context and gram."""
 
-    def __init__(self, tables: np.ndarray):
-        self.tables = tables
+    def __init__(self, counts: DataFrame):
+        self.counts = counts
 
     def scores(self, urls: list[str]) -> np.ndarray:
         """Log-likelihood of the accepted less the rejected model, per sign."""
-        if not urls:
-            return np.zeros(0)
-        signs, at = _signs(urls)
-        logs = []
-        p = [np.full(len(at), 1 / 256), np.full(len(at), 1 / 256)]
-        for k, context, gram in _slots(signs, at):
-            for label in (0, 1):
-                t = self.tables[label, k]
-                p[label] = (t[1][gram] + SMOOTH * p[label]) / (t[0][context] + SMOOTH)
-        logs = np.log(p[1]) - np.log(p[0])
-        sizes = np.fromiter((len(u.encode()) + 1 for u in urls), np.int64, len(urls))
-        return np.add.reduceat(logs, np.cumsum(sizes) - sizes) / sizes
+        rows = self.counts.sparkSession.createDataFrame(list(enumerate(urls)), "n long, url string")
+        return np.array([r.llr for r in score_urls(rows, self, "url").orderBy("n").select("llr").collect()])
 
 
-def count_models(labelled: DataFrame) -> UrlModels:
-    """Models of (url string, label int: 1 accepted, 0 rejected); sums of per-task tables."""
-    shape = (2, ORDER + 1, 2, SLOTS)
+def count_models(labelled: DataFrame, scratch: Scratch | None = None) -> UrlModels:
+    """Models of (url string, label int: 1 accepted, 0 rejected); saved where ``scratch`` is given."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros(shape, np.int64)
         for batch in batches:
-            urls, labels = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist())
+            urls, labels = [u or "" for u in batch.column(0).to_pylist()], np.array(batch.column(1).to_pylist())
             for label in (0, 1):
                 own = [urls[i] for i in np.flatnonzero(labels == label)]
                 if own:
-                    for k, context, gram in _slots(*_signs(own)):
-                        tables[label, k, 0] += np.bincount(context.astype(np.int64), minlength=SLOTS)
-                        tables[label, k, 1] += np.bincount(gram.astype(np.int64), minlength=SLOTS)
-        flat = tables.ravel()
-        used = np.flatnonzero(flat)
-        for lo in range(0, len(used), 1 << 16):
-            part = used[lo : lo + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(flat[part])], ["slot", "n"])
+                    gram, n = np.unique(_grams(own)[0], return_counts=True)
+                    none = np.zeros(len(gram), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(none if label else n), pa.array(n if label else none)], ["gram", "n0", "n1"])
+
+    sums = [F.sum(n).alias(n) for n in ("n0", "n1")]
+    whole = labelled.select("url", "label").mapInArrow(count, "gram long, n0 long, n1 long").groupBy("gram").agg(*sums)
+    counts = whole.select(F.explode(_parts(F.col("gram"))["key"]).alias("key"), "n0", "n1").groupBy("key").agg(*sums)
+    return UrlModels(scratch.save(counts, "models") if scratch else counts)
 
-    summed = labelled.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(int(np.prod(shape)), np.int64)
-    flat[summed["slot"].to_numpy()] = summed["n"].to_numpy()
-    return UrlModels(flat.reshape(shape).astype(np.float32))
+
+def gram_scores(grams: DataFrame, models: UrlModels) -> DataFrame:
+    """(gram, delta) of distinct grams: log-likelihood of the sign in the accepted less the rejected model."""
+    parts = grams.select("gram", F.inline(_parts(F.col("gram")))).join(models.counts, "key")
+    at = lambda label, k, is_context: F.coalesce(F.sum(F.when((F.col("k") == k) & (F.col("is_context") == is_context), F.col(f"n{label}"))), F.lit(0))
+    known = parts.groupBy("gram").agg(*(at(label, k, c).alias(f"n{label}_{k}_{c}") for label in (0, 1) for k in range(ORDER + 1) for c in (0, 1)))
+    p = [F.lit(1 / 256), F.lit(1 / 256)]
+    for k in range(ORDER + 1):
+        p = [(F.col(f"n{label}_{k}_0") + F.lit(SMOOTH) * p[label]) / (F.col(f"n{label}_{k}_1") + F.lit(SMOOTH)) for label in (0, 1)]
+    return known.select("gram", (F.log(p[1]) - F.log(p[0])).alias("delta"))
 
 
 def score_urls(urls: DataFrame, models: UrlModels, url_col: str) -> DataFrame:
     """All columns and ``llr``."""
-    shared = urls.sparkSession.sparkContext.broadcast(models.tables)
-    position = urls.columns.index(url_col)
+    n_buckets = -(-urls.count() // BUCKET_URLS) or 1
+    fields, position = urls.schema.fields, urls.columns.index(url_col)
+    inner = [f"c{i}" for i in range(len(fields))]
     names = [*urls.columns, "llr"]
+    # the columns may be of any name and kind; equal URLs are dealt over buckets by the other columns
+    plain = urls.toDF(*inner)
+    dealt = plain.select(F.pmod(F.xxhash64(F.to_json(F.struct(*inner))), F.lit(n_buckets)).alias("bucket"), *inner)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = UrlModels(shared.value)
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            llr = m.scores([u or "" for u in batch.column(position).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(llr, pa.float64())], names)
+            if not batch.num_rows:
+                continue
+            gram, sizes = _grams([u or "" for u in batch.column(1).to_pylist()])
+            bucket = np.repeat(batch.column(0).to_numpy(), sizes)
+            order = np.lexsort((gram, bucket))
+            gram, bucket = gram[order], bucket[order]
+            first = np.flatnonzero(np.append(True, (gram[1:] != gram[:-1]) | (bucket[1:] != bucket[:-1])))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(gram[first])], ["bucket", "gram"])
+
+    held = dealt.select("bucket", inner[position]).mapInArrow(spell, "bucket long, gram long").distinct()
+    deltas = held.join(gram_scores(held.select("gram").distinct(), models), "gram", "left").select("bucket", "gram", F.coalesce("delta", F.lit(0.0)).alias("delta"))
+    both = deltas.unionByName(dealt, allowMissingColumns=True).select("bucket", "gram", "delta", *inner)
+    both = both.repartition("bucket").sortWithinPartitions("bucket", F.col("gram").asc_nulls_last())
 
-    return urls.mapInArrow(score, StructType([*urls.schema.fields, StructField("llr", DoubleType())]))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, keys, values = None, [], []
+        for batch in batches:
+            bucket, is_url = batch.column(0).to_numpy(), batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (is_url[1:] != is_url[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)]):
+                if lo == hi:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                if bucket[lo] != current:
+                    current, keys, values = bucket[lo], [], []
+                if not is_url[lo]:
+                    keys.append(part.column(1).to_numpy())
+                    values.append(part.column(2).to_numpy())
+                    continue
+                keys, values = [np.concatenate(keys)], [np.concatenate(values)]
+                gram, sizes = _grams([u or "" for u in part.column(3 + position).to_pylist()])
+                logs = values[0][np.searchsorted(keys[0], gram)]
+                llr = np.add.reduceat(logs, np.cumsum(sizes) - sizes) / sizes
+                yield pa.RecordBatch.from_arrays([*part.columns[3:], pa.array(llr, pa.float64())], names)
+
+    return both.mapInArrow(score, StructType([*(StructField(f.name, f.dataType) for f in fields), StructField("llr", DoubleType())]))
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -174,7 +216,7 @@ def calibrate(scored: DataFrame) -> float:
     return cut
 
 
-def judge_urls(spark: SparkSession, pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge_urls(spark: SparkSession, pages: DataFrame, scratch: Scratch, rules: tuple[UrlRule, ...] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``llr`` (score of the models)."""
     host, path = host_and_path(F.col(url_col))
     split = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
@@ -182,7 +224,7 @@ def judge_urls(spark: SparkSession, pages: DataFrame, rules: tuple[UrlRule, ...]
     allowed = F.col("rule").isin(*[r.pattern for r in rules if r.allow])
     labelled = ruled.where("rule is not null").select("url", F.when(allowed, 1).otherwise(0).alias("label"))
     held = F.pmod(F.crc32("url"), F.lit(HOLD_EVERY)) == 0
-    models = count_models(labelled.where(~held))
+    models = count_models(labelled.where(~held), scratch)
     cut = calibrate(score_urls(labelled.where(held), models, "url"))
     by_rule = F.when(F.col("rule").isNotNull(), F.when(allowed, "allow").otherwise("block"))
     scored = score_urls(ruled, models, "url")

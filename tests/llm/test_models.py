@@ -111,6 +111,35 @@ def test_leaks_are_found_and_others_left(spark, corpus):
     assert left.count() == len([d for d in docs if d[0] not in leaks]) and left.columns[-1] == "score"
 
 
+def test_short_and_reworded_items_are_found(spark, tmp_path):
+    rng = random.Random(4)
+    items, docs, leaks = [(900, "Zwei, drei vier!"), (901, "fünf")], [], set()
+    for i in range(60):
+        words = prose(rng, rng.randrange(9, 24)).split()
+        for k in range(len(words) // 2):
+            words.insert(rng.randrange(len(words) + 1), f"key{i}x{k}")
+        items.append((i, " ".join(words)))
+        for share in (0, 4):  # as it is, and with a quarter of the words exchanged
+            own = list(words)
+            for at in rng.sample(range(len(own)), len(own) // share if share else 0):
+                own[at] = "y%d" % rng.randrange(9000)
+            text = prose(rng, rng.randrange(40, 90)).split()
+            at = rng.randrange(len(text))
+            keys = [w for w in words if w.startswith("key")]
+            if sum(w in own for w in keys) >= 0.75 * len(keys):
+                leaks.add((len(docs), i))
+                docs.append((len(docs), " ".join(text[:at] + own + text[at:])))
+    for text, found in (("a zwei drei (vier) b", {900}), ("zwei drei b vier", set()), ("x fünf.", {901}), ("fünfzig", set())):
+        leaks |= {(len(docs), i) for i in found}
+        docs.append((len(docs), text))
+    docs += [(1000 + i, prose(rng, 90)) for i in range(300)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in queries.op7_decontamination(spark, str(tmp_path)).collect()}
+    assert len(leaks) > 80 and {x for x in leaks if x[1] >= 900} <= got
+    assert got <= leaks and len(leaks - got) <= 1
+
+
 def test_lcs_equals_the_table():
     rng = np.random.default_rng(3)
     for _ in range(30):

@@ -7,15 +7,16 @@
    makes the ``TERMS`` x ``RANK`` result a basis. A second pass takes the matrix of inner products
    of all passages in that basis, whose eigenvectors give the singular vectors and values.
    Latent coordinates are divided by the values, so that no topic or language drowns the others.
-3. Every window of ``WIDTH`` words (one each ``STRIDE``) whose cosine with a window of a benchmark item
-   reaches ``COSINE`` is a candidate: the longest common subsequence of the item and the words
-   around it has to cover ``LCS_SHARE`` of the item, and ``ANSWER_SHARE`` of the answer's terms
-   (without an answer column: of the item's rarest third) have to be there.
+3. Every window of as many words as the largest of ``WIDTHS`` that the item has (one each ``STRIDE``
+   words, for shorter ones each ``STEP``) whose cosine with one of the item's overlapping windows
+   reaches ``COSINE`` is a candidate: ``ANSWER_SHARE`` of the answer's terms (without an answer
+   column: of the item's rarest third) have to be around it, and the longest common subsequence
+   of the item and the words there has to cover ``LCS_SHARE`` of the item.
+4. Items of fewer than ``MIN_WORDS`` words are searched for as they are, word by word.
 
 Items are taken in blocks of ``ITEM_BLOCK``; every block meets all windows.
 
-Edge cases. Null or empty texts and items match nothing; items of fewer than ``MIN_WORDS`` words are
-not searched for. Repeated rows match each. Empty tables give an empty result. Further columns are
+Edge cases. Null or empty texts and items match nothing. Repeated rows match each. Empty tables give an empty result. Further columns are
 ignored by :func:`find_leaks` and kept by :func:`drop_leaks`, which keeps rows without an id.
 """
 
@@ -33,20 +34,24 @@ from weft.llm import caches
 from weft.llm.scratch import Scratch
 
 TERMS, RANK, SEED = 1 << 14, 40, 11
-WIDTH, STRIDE = 24, 8
-COSINE, LCS_SHARE, ANSWER_SHARE, MIN_WORDS, ITEM_BLOCK = 0.6, 0.75, 0.6, 8, 4096
+WIDTH, STRIDE, STEP = 24, 8, 4
+WIDTHS = (WIDTH, 16, 12, 8)
+COSINE, LCS_SHARE, ANSWER_SHARE, MIN_WORDS, ITEM_BLOCK = 0.45, 0.75, 0.6, 8, 4096
 CACHE_WORDS, BATCH_WORDS = 400_000, 200_000
 LEAKS = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, first_word long"
 
 
+def _core(word: str) -> str:
+    return word.strip(".,;:!?|#*$%&<>()[]\"'-_") or word
+
+
 class _Terms(dict):
     """Term number of a word, 1 to TERMS - 1; 0 is padding."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        core = word.strip(".,;:!?|#*$%&<>()[]\"'-_") or word
-        self[word] = value = zlib.crc32(core.encode()) % (TERMS - 1) + 1
+        self[word] = value = zlib.crc32(_core(word).encode()) % (TERMS - 1) + 1
         return value
 
 
@@ -186,20 +191,29 @@ def latent_basis(spark: SparkSession, terms: DataFrame, idf: np.ndarray) -> np.n
     return (basis @ turn / np.sqrt(np.maximum(values, values.max(initial=0) * 1e-9 + 1e-12)) * idf[:, None]).astype(np.float32)
 
 
-def _windows(basis: np.ndarray, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Unit latent vectors of windows that start at each ``STRIDE``-th word, and each document's first one."""
-    rows, first = _padded(docs, STRIDE)
-    blocks = np.zeros((len(rows) + WIDTH // STRIDE, basis.shape[1]), np.float32)
-    for k in range(STRIDE):
-        blocks[: len(rows)] += basis[rows[:, k]]
-    vectors = blocks[: len(rows)].copy()
-    owner = np.repeat(np.arange(len(docs)), np.diff(np.append(first, len(rows))))
-    for k in range(1, WIDTH // STRIDE):
-        same = owner[k:] == owner[:-k]
-        vectors[: len(rows) - k][same] += blocks[k : len(rows)][same]
-    norm = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-    vectors /= np.maximum(norm, 1e-12)[:, None]
-    return vectors, first
+def _laid_out(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All documents in one row, each filled up to whole strides and by a window of padding; and each one's first place."""
+    size = np.array([-(-len(d) // STRIDE) * STRIDE + WIDTH for d in docs])
+    first = np.cumsum(size) - size
+    flat = np.zeros(int(size.sum()), np.uint16)
+    for d, f in zip(docs, first.tolist()):
+        flat[f : f + len(d)] = d
+    return flat, first
+
+
+def _windows(basis: np.ndarray, flat: np.ndarray, widths: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Width, step and sum of latent vectors of the windows at each step, for each width."""
+    rows = flat.reshape(-1, STEP)
+    steps = basis[rows[:, 0]]
+    for k in range(1, STEP):
+        steps += basis[rows[:, k]]
+    for width in widths:
+        step = STRIDE if width == WIDTH else STEP
+        parts = steps if step == STEP else steps[0::2] + steps[1::2]
+        sums = parts.copy()
+        for k in range(1, width // step):
+            sums[:-k] += parts[k:]
+        yield width, step, sums
 
 
 def lcs_length(a: list[int], b: list[int]) -> int:
@@ -222,13 +236,58 @@ class Items:
     def __init__(self, ids: list[int], words: list[np.ndarray], answers: list[np.ndarray | None], basis: np.ndarray, idf: np.ndarray):
         self.ids, self.words = ids, [w.tolist() for w in words]
         self.answers = [frozenset((a if a is not None and len(a) else w[np.argsort(-idf[w], kind="stable")[: -(-len(w) // 3)]]).tolist()) for w, a in zip(words, answers)]
-        parts = [w[at : at + WIDTH] for w in words for at in self._starts(len(w))]
-        self.owner = np.repeat(np.arange(len(words)), [len(self._starts(len(w))) for w in words])
-        self.vectors = _windows(basis, parts)[0][_windows(basis, parts)[1]] if parts else np.zeros((0, basis.shape[1]), np.float32)
+        #: by width: unit vectors of windows and their items
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for width in WIDTHS:
+            own = [i for i, w in enumerate(words) if self._width(len(w)) == width]
+            if own:
+                vectors = np.stack([basis[words[i][at : at + width]].sum(0) for i in own for at in self._starts(len(words[i]), width)])
+                vectors /= np.maximum(np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), 1e-12)[:, None]
+                self.windows[width] = vectors, np.repeat(own, [len(self._starts(len(words[i]), width)) for i in own])
 
     @staticmethod
-    def _starts(n: int) -> list[int]:
-        return [max(0, (n - WIDTH) // 2)] if n <= WIDTH * 3 // 2 else [*range(0, n - WIDTH, WIDTH * 3 // 2), n - WIDTH]
+    def _width(n: int) -> int:
+        return next((w for w in WIDTHS if w <= n), WIDTHS[-1])
+
+    @staticmethod
+    def _starts(n: int, width: int) -> list[int]:
+        return [*range(0, n - width, STRIDE if width == WIDTH else STEP), max(0, n - width)]
+
+
+def _candidates(flat: np.ndarray, first: np.ndarray, items: Items, basis: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Item, document, start, width, cosine of windows near an item, one each start, in this order."""
+    found = []
+    for width, step, sums in _windows(basis, flat, list(items.windows)):
+        vectors, owner = items.windows[width]
+        least = np.maximum(COSINE * np.sqrt(np.einsum("ij,ij->i", sums, sums)), 1e-12)
+        for lo in range(0, len(sums), 2048):
+            products = sums[lo : lo + 2048] @ vectors.T
+            at, which = np.divmod(np.flatnonzero(products >= least[lo : lo + 2048, None]), len(owner))
+            if len(at):
+                found.append((owner[which], (at + lo) * step, np.full(len(at), width), products[at, which] / least[at + lo] * COSINE))
+    if not found:
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    item, place, width, cosine = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((-cosine, item * np.int64(len(flat)) + place))
+    item, place, width, cosine = item[order], place[order], width[order], cosine[order]
+    fresh = np.append(True, (item[1:] != item[:-1]) | (place[1:] != place[:-1]))
+    item, place, width, cosine = item[fresh], place[fresh], width[fresh], cosine[fresh]
+    doc = np.searchsorted(first, place, "right") - 1
+    return item, doc, place - first[doc], width, cosine
+
+
+def _answered(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, n: int, answer: frozenset[int], doc: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """Share of the answer's terms among the words around each start."""
+    terms, hit = np.array(sorted(answer)), np.zeros(len(doc), np.int64)
+    for lo in range(0, len(terms), 64):
+        bits = np.zeros(TERMS, np.uint64)
+        bits[terms[lo : lo + 64]] = np.uint64(1) << np.arange(len(terms[lo : lo + 64]), dtype=np.uint64)
+        for at in range(0, len(doc), 1024):
+            d, s = doc[at : at + 1024], start[at : at + 1024]
+            low, high = first[d] + np.maximum(0, s - n), first[d] + np.minimum(sizes[d], s + width + n) - 1
+            places = np.minimum(low[:, None] + np.arange(width + 2 * n), high[:, None])
+            hit[at : at + 1024] += np.bitwise_count(np.bitwise_or.reduce(bits[flat[places]], 1))
+    return hit / len(terms)
 
 
 def search(terms: DataFrame, items: Items, basis: np.ndarray) -> DataFrame:
@@ -239,27 +298,23 @@ def search(terms: DataFrame, items: Items, basis: np.ndarray) -> DataFrame:
         caches.use("search")
         items, basis = shared.value
         for part, docs in _groups(batches, 1):
-            vectors, first = _windows(basis, docs)
+            flat, first = _laid_out(docs)
+            sizes = np.array([len(d) for d in docs])
+            item, doc, start, width, cosine = _candidates(flat, first, items, basis)
             best: dict[tuple[int, int], tuple] = {}
-            for lo in range(0, len(vectors), 2048):
-                cosine = vectors[lo : lo + 2048] @ items.vectors.T
-                at, which = np.nonzero(cosine >= COSINE)
-                doc = np.searchsorted(first, at + lo, "right") - 1
-                start, item, near = (at + lo - first[doc]) * STRIDE, items.owner[which], cosine[at, which]
-                last = None
-                for k in np.lexsort((start, item, doc)).tolist():
-                    d, i, s = int(doc[k]), int(item[k]), int(start[k])
-                    words = items.words[i]
-                    if best.get((d, i), (0, 0.0))[1] >= 1.0 or last is not None and last[:2] == (d, i) and s - last[2] < STRIDE:
-                        continue
-                    last = (d, i, s)
-                    span = docs[d][max(0, s - len(words)) : s + WIDTH + len(words)].tolist()
-                    answer = len(items.answers[i].intersection(span)) / len(items.answers[i])
-                    if answer < ANSWER_SHARE:
+            cuts = np.flatnonzero(np.append(True, item[1:] != item[:-1])) if len(item) else item
+            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(item)]):
+                i, w = int(item[lo]), int(width[lo])
+                words = items.words[i]
+                answer = _answered(flat, first, sizes, len(words), items.answers[i], doc[lo:hi], start[lo:hi], w)
+                for k in np.flatnonzero(answer >= ANSWER_SHARE).tolist():
+                    d, s = int(doc[lo + k]), int(start[lo + k])
+                    if best.get((d, i), (0, 0.0))[1] >= 1.0:
                         continue
+                    span = docs[d][max(0, s - len(words)) : s + w + len(words)].tolist()
                     lcs = lcs_length(words, span) / len(words)
                     if lcs >= LCS_SHARE and lcs > best.get((d, i), (0, 0.0))[1]:
-                        best[d, i] = (float(near[k]), lcs, answer, s)
+                        best[d, i] = (float(cosine[lo + k]), lcs, float(answer[k]), s)
             if best:
                 keys = list(best)
                 ids = part.column(0)
@@ -271,24 +326,54 @@ def search(terms: DataFrame, items: Items, basis: np.ndarray) -> DataFrame:
     return terms.select("doc_id", "terms").mapInArrow(find, LEAKS)
 
 
+def search_exact(docs: DataFrame, items: list[tuple[int, list[str]]]) -> DataFrame:
+    """Rows of ``LEAKS`` for items whose words stand in a text as they are, from (doc_id, text)."""
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_word: dict[str, list[tuple[int, list[str]]]] = {}
+        for i, words in shared.value:
+            by_word.setdefault(words[0], []).append((i, words))
+        for batch in batches:
+            out = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found: dict[int, int] = {}
+                words = [_core(w) for w in (text or "").lower().split()]
+                for at, word in enumerate(words):
+                    for i, own in by_word.get(word, ()):
+                        if i not in found and words[at : at + len(own)] == own:
+                            found[i] = at
+                out += [(doc_id, i, 1.0, 1.0, 1.0, at) for i, at in found.items()]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.int64()))], ["doc_id", "item_id", "cosine", "lcs_share", "answer_share", "first_word"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, LEAKS)
+
+
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, scratch: Scratch, answer_col: str | None = None) -> DataFrame:
     """Rows of ``LEAKS``: one for each document and benchmark item that it holds."""
     terms = scratch.save(encode_terms(docs), "terms")
     idf = inverse_frequencies(terms)
     basis = latent_basis(spark, terms, idf)
     rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text", (F.col(answer_col) if answer_col else F.lit(None).cast("string")).alias("answer"))
-    out, block = spark.createDataFrame([], LEAKS), []
+    out, block, short = spark.createDataFrame([], LEAKS), [], []
 
     def searched(block: list) -> DataFrame:
         items = Items([r.item_id for r in block], [term_numbers(r.text) for r in block], [term_numbers(r.answer) if r.answer else None for r in block], basis, idf)
         return search(terms, items, basis)
 
     for r in rows.orderBy("item_id", "text").toLocalIterator():
-        if len(term_numbers(r.text)) >= MIN_WORDS:
+        words = [_core(w) for w in r.text.lower().split()]
+        if len(words) >= MIN_WORDS:
             block.append(r)
+        elif words:
+            short.append((r.item_id, words))
         if len(block) == ITEM_BLOCK:
             out, block = out.unionByName(searched(block)), []
-    return out.unionByName(searched(block)) if block else out
+        if len(short) == ITEM_BLOCK:
+            out, short = out.unionByName(search_exact(docs, short)), []
+    out = out.unionByName(searched(block)) if block else out
+    return out.unionByName(search_exact(docs, short)) if short else out
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:

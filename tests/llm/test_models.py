@@ -207,6 +207,16 @@ def test_url_models_count_every_context_by_itself(spark):
     assert np.allclose(got, [expected(u) for u in asked], atol=1e-9)
 
 
+def test_scores_count_all_labelled_urls(spark):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    got = urlfilter.judge_urls(spark, pages, Scratch(spark, "test")).collect()
+    allow = {x.pattern: x.allow for x in urlfilter.RULES}
+    labelled = [(URLS[r.page_id], int(allow[r.rule])) for r in got if r.rule]
+    assert any(zlib.crc32(u.encode()) % urlfilter.HOLD_EVERY == 0 for u, _ in labelled)
+    expected = urlfilter.count_models(spark.createDataFrame(labelled, "url string, label int")).scores(URLS)
+    assert np.allclose([r.llr for r in sorted(got, key=lambda r: r.page_id)], expected, atol=1e-9)
+
+
 PAGES = [(i, f"http://h{i % 3}.ex.com/{i % 7}", [None, "", "same", f"own {i}\r\n\r\nWARC/1.1\r\n"][i % 4]) for i in range(60)] + [(None, "http://z/", "same"), (5, None, "ü" * 70000), (3, "http://h0.ex.com/3", "own 3\r\n\r\nWARC/1.1\r\n")]
 
 

@@ -7,7 +7,8 @@ of it is broadcast or kept on the driver. An order's estimate is smoothed with t
 one's. What a sign adds to a URL's score follows from the sign and the ``ORDER`` before it, so
 the distinct such grams of the URLs are joined to the table, and each bucket of URLs reads those
 it holds. A URL's score is the log-likelihood difference per sign; the threshold is the one that
-best separates labelled URLs that were held out from counting.
+best separates labelled URLs that were held out from counting; for the scores, all labelled
+URLs are counted.
 
 Edge cases. A null url or one without ``://`` has empty host and path, fits no rule and is
 scored as it is (null: as empty text). Without labelled URLs of both kinds every score is 0
@@ -224,8 +225,8 @@ def judge_urls(spark: SparkSession, pages: DataFrame, scratch: Scratch, rules: t
     allowed = F.col("rule").isin(*[r.pattern for r in rules if r.allow])
     labelled = ruled.where("rule is not null").select("url", F.when(allowed, 1).otherwise(0).alias("label"))
     held = F.pmod(F.crc32("url"), F.lit(HOLD_EVERY)) == 0
-    models = count_models(labelled.where(~held), scratch)
-    cut = calibrate(score_urls(labelled.where(held), models, "url"))
+    cut = calibrate(score_urls(labelled.where(held), count_models(labelled.where(~held), scratch), "url"))
+    models = count_models(labelled, scratch)
     by_rule = F.when(F.col("rule").isNotNull(), F.when(allowed, "allow").otherwise("block"))
     scored = score_urls(ruled, models, "url")
     verdict = F.coalesce(by_rule, F.when(F.col("llr") >= cut, "allow").otherwise("block"))

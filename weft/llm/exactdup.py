@@ -28,16 +28,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.runs import loser_tree_merge
+from weft.llm.runs import cut_keys, loser_tree_merge
+from weft.llm.scratch import Scratch
 
 LENGTH, GRAM = 100, 20
-RUN_BYTES, RANGE_BYTES, MAX_SAMPLE, RUN_LEVEL = 6 << 20, 12 << 20, 100_000, 3
+RUN_BYTES, RANGE_BYTES, RANGE_SAMPLES, RUN_LEVEL = 6 << 20, 12 << 20, 64, 3
+#: Repeats inside a run cross the exchange in pieces of so many rows.
+REPEAT_ROWS = 8192
 #: Documents longer than this are worked on in overlapping parts.
 PART_BYTES = 4 << 20
 LEFT = LENGTH - GRAM
@@ -274,34 +276,38 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
             yield i, tag, raw
 
 
-def splitters(keyed: DataFrame) -> list[bytes]:
-    """First ``GRAM`` bytes that cut all suffixes into ranges of about ``RANGE_BYTES`` of text, from a bounded hashed sample."""
+def splitters(keyed: DataFrame, scratch: Scratch) -> list[bytes]:
+    """First ``GRAM`` bytes that cut all suffixes into ranges of about ``RANGE_BYTES`` of text, from a sample
+    of about ``RANGE_SAMPLES`` places a range, drawn from whole texts."""
     total = keyed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     ranges = -(-total // RANGE_BYTES)
     if ranges < 2:
         return []
-    every = max(1, total // 70 // min(MAX_SAMPLE, 64 * ranges))
+    # places are drawn by a hash of text, suffix and place: not all copies of a passage, but any place
+    every = max(1, total // (2 * (LENGTH - GRAM) // 4) // (RANGE_SAMPLES * ranges))
+    # few documents are read where a document's share of the sample is small
+    texts_every = max(1, every // 64)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = []
-            for _, _, raw in _read(batch):
-                data = np.frombuffer(raw[: PART_BYTES + LENGTH], np.uint8)
-                place = anchors(data)[0]
-                # a place is drawn by the text in front of it: not all copies of a text, but any text
-                own += [raw[p : p + GRAM] for p in place[(place + len(raw)) % min(every, 997) == 0].tolist()]
+            for _, tag, raw in _read(batch):
+                for base in range(0, max(1, len(raw) - LENGTH + 1), PART_BYTES):
+                    data = np.frombuffer(raw[base : base + PART_BYTES + LENGTH - 1], np.uint8)
+                    place = anchors(data)[0]
+                    with np.errstate(over="ignore"):
+                        h = (place.astype(np.uint64) + np.uint64(base) + np.uint64(tag & (1 << 63) - 1)) * np.uint64(0x9E3779B97F4A7C15)
+                    own += [raw[base + p : base + p + GRAM] for p in place[(h >> np.uint64(33)) % np.uint64(max(1, every // texts_every)) == 0].tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary())], ["gram"])
 
-    few = keyed.where(F.pmod(F.xxhash64("id"), F.lit(max(1, every // 997 + 1 if every > 997 else 1))) == 0)
-    rows = few.select("id", "tag", "text").mapInArrow(sample, "gram binary").limit(4 * MAX_SAMPLE).toArrow()["gram"].to_pylist()
-    rows.sort()
-    return sorted({rows[len(rows) * j // ranges] for j in range(1, ranges)}) if rows else []
+    few = keyed.where(F.pmod(F.xxhash64("id", "tag"), F.lit(texts_every)) == 0)
+    return cut_keys(scratch.save(few.select("id", "tag", "text").mapInArrow(sample, "gram binary"), "sample"), ranges)
 
 
-def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, tag, start, end): byte ranges covered by windows that occur earlier; they may overlap."""
     keyed = _keyed(docs, id_col, text_col)
-    cuts = splitters(keyed)
+    cuts = splitters(keyed, scratch)
     edges = np.array(cuts, f"S{GRAM}") if cuts else np.zeros(0, f"S{GRAM}")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,9 +319,10 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             bounds = [0, *np.searchsorted(grams, edges, "left").tolist(), len(ordered)]
             numbers = [j for j in range(len(bounds) - 1) if bounds[j] < bounds[j + 1]]
             blobs = [ordered.take(slice(bounds[j], bounds[j + 1])).pack() for j in numbers]
-            if len(found):  # repeats inside a run pass through any range
-                numbers.append(int(found[0, 2] + found[0, 1]) % (len(edges) + 1))
-                blobs.append(b"R" + np.ascontiguousarray(found).tobytes())
+            for lo in range(0, len(found), REPEAT_ROWS):  # repeats inside a run pass through any range
+                piece = found[lo : lo + REPEAT_ROWS]
+                numbers.append(int(piece[0, 1] + piece[0, 2]) % (len(edges) + 1))
+                blobs.append(b"R" + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(piece.T).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], ["range_id", "run"])
 
         for batch in batches:
@@ -328,16 +335,30 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if texts:
             yield from run()
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        blobs = pdf["run"].tolist()
-        found = [np.frombuffer(b[1:], np.int64).reshape(-1, 4) for b in blobs if b[:1] == b"R"]
+    def merged(blobs: list[bytes]) -> pa.RecordBatch:
+        opener = zstandard.ZstdDecompressor()
+        found = [np.frombuffer(opener.decompress(b[1:]), np.int64).reshape(4, -1).T for b in blobs if b[:1] == b"R"]
         parts = [_Suffixes(*_unpack(b)) for b in blobs if b[:1] != b"R"]
         if parts:
             found.append(repeats(*merge_runs(parts)))
-        return pd.DataFrame(np.concatenate(found), columns=["id", "tag", "start", "end"])
+        rows = np.concatenate(found)
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(4)], ["id", "tag", "start", "end"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, blobs = None, []
+        for batch in batches:
+            for number, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if number != current and blobs:
+                    yield merged(blobs)
+                    blobs = []
+                current = number
+                blobs.append(blob)
+        if blobs:
+            yield merged(blobs)
 
     runs = keyed.select("id", "tag", "text").mapInArrow(sort, "range_id int, run binary")
-    return runs.groupBy("range_id").applyInPandas(merge, _MARKS)
+    # a partition for each range, at any number of ranges
+    return runs.repartitionById(len(cuts) + 1, "range_id").sortWithinPartitions("range_id").mapInArrow(merge, _MARKS)
 
 
 def joined_ranges(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
@@ -350,10 +371,10 @@ def joined_ranges(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, spans (array of start and end, bytes, none touching), kept (binary); one row for each of ``docs``."""
     keyed = _keyed(docs, id_col, text_col)
-    marks = find_repeats(docs, id_col, text_col).groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
+    marks = find_repeats(docs, scratch, id_col, text_col).groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1, write_checksum=False)

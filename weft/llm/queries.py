@@ -98,9 +98,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without byte strings that start earlier elsewhere."""
-    out = exactdup.remove_repeats(_table(spark, sf_dir, "documents"))
+    scratch = Scratch(spark, "op6")
+    out = exactdup.remove_repeats(_table(spark, sf_dir, "documents"), scratch)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return scratch.bind(out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.sql import DataFrame
+
+#: Keys that the driver sorts itself.
+FEW_KEYS = 20_000
+
+
+def cut_keys(keys: DataFrame, parts: int) -> list[bytes]:
+    """At most ``parts`` - 1 distinct keys that cut the rows of ``keys`` (one binary column) into parts of equal
+    size. A sample beyond ``FEW_KEYS`` is sorted by the executors; the driver gets the cuts only."""
+    if parts < 2:
+        return []
+    n = keys.count()
+    if n <= FEW_KEYS:
+        rows = sorted(bytes(r[0]) for r in keys.collect())
+        found = [rows[n * j // parts] for j in range(1, parts)] if rows else []
+    else:
+        places = {n * j // parts for j in range(1, parts)}
+        found = keys.orderBy(keys.columns[0]).rdd.zipWithIndex().filter(lambda x: x[1] in places).map(lambda x: bytes(x[0][0])).collect()
+    return sorted(set(found))
 
 
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:

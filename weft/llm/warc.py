@@ -6,6 +6,9 @@ it. Reading an archive gives a run of index entries sorted by URL key, timestamp
 are cut at sampled splitters, exchanged by range, and merged by a loser tree, which gives
 capture histories in global order (``range_id``, ``seq``).
 
+Capture times come from a timestamp column (``time_col``). Without one, or where it is null, a capture's
+time follows from its id: one second an id after ``EPOCH``, over again after 10^9 ids; a null id counts as 0.
+
 Edge cases. A null payload is empty; a null url has the empty key; a null id is written as
 empty, reads back as null, and counts as smaller than any other. Captures that tie for the
 largest id of a payload are all responses. Repeated rows stay. An empty table gives an empty
@@ -27,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.runs import front_code, front_decode, loser_tree_merge
+from weft.llm.runs import cut_keys, front_code, front_decode, loser_tree_merge
 from weft.llm.scratch import Scratch
 
 ARCHIVE_BYTES = 64 << 20
-#: Rows that one merge task may hold, and sampled keys for each range.
-RANGE_ROWS, RANGE_SAMPLES, MAX_SAMPLE = 200_000, 32, 50_000
+#: Rows that one merge task holds about, and sampled keys for each range.
+RANGE_ROWS, RANGE_SAMPLES = 200_000, 32
+#: Payloads that more captures share are joined apart from the others.
+HOT_COPIES = 1000
 EPOCH = datetime(2020, 1, 1, tzinfo=timezone.utc)
 INDEX_SCHEMA = "range_id int, seq long, urlkey string, timestamp string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, position long, size long"
 _FIELDS = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "position", "size")
@@ -50,9 +55,8 @@ def _digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _stamp(page_id: int | None) -> str:
-    """Capture time where the table has none: one second for each id."""
-    return (EPOCH + timedelta(seconds=(page_id or 0) % 1_000_000_000)).strftime("%Y-%m-%dT%H:%M:%SZ")
+def _stamp(seconds: int) -> str:
+    return (datetime.fromtimestamp(0, timezone.utc) + timedelta(seconds=seconds)).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
 def record(url: str, page_id: int | None, when: str, payload: bytes, refers_to: int | None) -> bytes:
@@ -105,23 +109,31 @@ def _id(urn: str) -> int | None:
     return int(text) if text else None
 
 
-def write_archives(pages: DataFrame, scratch: Scratch, min_revisit_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """Write all captures; the saved manifest names the archives of tasks that were committed."""
-    captures = pages.select(
-        F.col(id_col).cast("long").alias("page_id"),
-        F.coalesce(F.col(url_col), F.lit("")).alias("url"),
-        F.coalesce(F.col(payload_col), F.lit("")).alias("payload"),
-    )
+def _captures(pages: DataFrame, id_col: str, url_col: str, payload_col: str, time_col: str | None) -> DataFrame:
+    """page_id, url, payload, at (seconds)."""
+    number = F.col(id_col).cast("long")
+    by_id = F.lit(int(EPOCH.timestamp())) + F.pmod(F.coalesce(number, F.lit(0)), F.lit(1_000_000_000))
+    at = F.coalesce(F.unix_seconds(F.col(time_col).cast("timestamp")), by_id) if time_col else by_id
+    empty = F.lit("")
+    return pages.select(number.alias("page_id"), F.coalesce(F.col(url_col), empty).alias("url"), F.coalesce(F.col(payload_col), empty).alias("payload"), at.cast("long").alias("at"))
+
+
+def _with_references(captures: DataFrame, scratch: Scratch, min_revisit_bytes: int) -> DataFrame:
+    """Captures and the id that each refers to, null for responses; a payload that very many share lies in no one task."""
     key = captures.withColumn("digest", F.sha1(F.encode("payload", "utf-8"))).withColumn("payload_bytes", F.octet_length("payload"))
-    shared = (
-        key.where(F.col("payload_bytes") >= min_revisit_bytes)
-        .groupBy("digest")
-        .agg(F.max("page_id").alias("last_id"), F.count("*").alias("copies"))
-        .where("copies > 1 and last_id is not null")
-        .select("digest", "last_id")
-    )
-    refers = F.when(F.col("page_id").eqNullSafe(F.col("last_id")), None).otherwise(F.col("last_id"))
-    linked = key.join(shared, "digest", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+    last = key.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("digest").agg(F.max("page_id").alias("last_id"), F.count("*").alias("copies"))
+    shared = scratch.save(last.where("copies > 1 and last_id is not null"), "shared")
+    hot = scratch.save(shared.where(F.col("copies") > HOT_COPIES).select("digest", F.col("last_id").alias("hot_id")), "hot")
+    cold = shared.where(F.col("copies") <= HOT_COPIES).select(F.col("digest").alias("k"), "last_id")
+    # a row whose payload is hot knows its response by now and goes on under a key of its own
+    marked = key.join(hot, "digest", "left").withColumn("k", F.when(F.col("hot_id").isNull(), F.col("digest")).otherwise(F.xxhash64("page_id", "url").cast("string")))
+    response = F.coalesce("hot_id", "last_id")
+    return marked.join(cold, "k", "left").select("page_id", "url", "payload", "at", F.when(F.col("page_id").eqNullSafe(response), None).otherwise(response).alias("refers_to"))
+
+
+def write_archives(pages: DataFrame, scratch: Scratch, min_revisit_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time_col: str | None = None) -> DataFrame:
+    """Write all captures; the saved manifest names the archives of tasks that were committed."""
+    linked = _with_references(_captures(pages, id_col, url_col, payload_col, time_col), scratch, min_revisit_bytes)
     folder = scratch.path("archives")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,12 +149,12 @@ def write_archives(pages: DataFrame, scratch: Scratch, min_revisit_bytes: int =
             done.append((f"{root}/{name}", count, size))
 
         for batch in batches:
-            for page_id, url, payload, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+            for page_id, url, payload, at, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = store.open_output_stream(f"{root}/{name}.open", compression=None)
                 packer = zlib.compressobj(1, zlib.DEFLATED, 31)
-                member = packer.compress(record(url, page_id, _stamp(page_id), payload.encode(), refers_to)) + packer.flush()
+                member = packer.compress(record(url, page_id, _stamp(at), payload.encode(), refers_to)) + packer.flush()
                 out.write(member)
                 size, count = size + len(member), count + 1
                 if size >= ARCHIVE_BYTES:
@@ -162,18 +174,19 @@ def _entry_key(url: str, when: str, page_id: int | None) -> bytes:
     return url_key(url).encode() + b"\0" + when.encode() + b"\0" + (b"" if page_id is None else b"%020d" % (page_id + (1 << 63)))
 
 
-def splitters(pages: DataFrame, ranges: int, rows: int, id_col: str = "page_id", url_col: str = "url") -> list[bytes]:
-    """Keys that cut the captures into about ``ranges`` parts, from a bounded hashed sample."""
-    wanted = min(MAX_SAMPLE, ranges * RANGE_SAMPLES)
-    every = max(1, rows // wanted)
-    sample = (
-        pages.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(url_col), F.lit("")).alias("u"))
-        .where(F.pmod(F.xxhash64("i"), F.lit(every)) == 0)
-        .limit(4 * MAX_SAMPLE)
-        .collect()
-    )
-    keys = sorted(_entry_key(r.u, _stamp(r.i), r.i) for r in sample)
-    return [keys[len(keys) * j // ranges] for j in range(1, ranges)] if keys else []
+def splitters(pages: DataFrame, ranges: int, rows: int, scratch: Scratch, id_col: str = "page_id", url_col: str = "url", time_col: str | None = None) -> list[bytes]:
+    """Keys that cut the captures into about ``ranges`` parts, from a hashed sample of ``RANGE_SAMPLES`` rows a part."""
+    if ranges < 2:
+        return []
+    every = max(1, rows // (ranges * RANGE_SAMPLES))
+    captures = _captures(pages, id_col, url_col, url_col, time_col)
+    few = captures.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(every)) == 0)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_entry_key(u, _stamp(at), i) for i, u, at in zip(*(c.to_pylist() for c in batch.columns))], pa.binary())], ["key"])
+
+    return cut_keys(scratch.save(few.select("page_id", "url", "at").mapInArrow(keys, "key binary"), "keys"), ranges)
 
 
 def capture_index(manifest: DataFrame, cuts: list[bytes], archives: int) -> DataFrame:
@@ -237,9 +250,9 @@ def capture_index(manifest: DataFrame, cuts: list[bytes], archives: int) -> Data
     return runs.groupBy("range_id").applyInPandas(merge, INDEX_SCHEMA)
 
 
-def archive_pages(spark: SparkSession, pages: DataFrame, scratch: Scratch, min_revisit_bytes: int = 0) -> DataFrame:
+def archive_pages(spark: SparkSession, pages: DataFrame, scratch: Scratch, min_revisit_bytes: int = 0, time_col: str | None = None) -> DataFrame:
     """Write all pages, read the archives back: the merged capture index."""
-    manifest = write_archives(pages, scratch, min_revisit_bytes)
+    manifest = write_archives(pages, scratch, min_revisit_bytes, time_col=time_col)
     rows, archives = manifest.agg(F.coalesce(F.sum("records"), F.lit(0)), F.count("*")).first()
     ranges = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 1000), -(-rows // RANGE_ROWS))
-    return capture_index(manifest, splitters(pages, ranges, rows), archives)
+    return capture_index(manifest, splitters(pages, ranges, rows, scratch, time_col=time_col), archives)

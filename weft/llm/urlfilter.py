@@ -12,7 +12,8 @@ URLs are counted.
 
 Edge cases. A null url or one without ``://`` has empty host and path, fits no rule and is
 scored as it is (null: as empty text). Without labelled URLs of both kinds every score is 0
-and the method allows. Repeated rows count and stay. An empty table gives an empty result.
+and the method allows; where the held-out ones are of one kind, the threshold is 0. Repeated rows
+count and stay. An empty table gives an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -224,10 +225,11 @@ def judge_urls(spark: SparkSession, pages: DataFrame, scratch: Scratch, rules: t
     ruled = split.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     allowed = F.col("rule").isin(*[r.pattern for r in rules if r.allow])
     labelled = ruled.where("rule is not null").select("url", F.when(allowed, 1).otherwise(0).alias("label"))
+    by_rule = F.when(F.col("rule").isNotNull(), F.when(allowed, "allow").otherwise("block"))
+    if labelled.agg(F.count_distinct("label")).first()[0] < 2:
+        return ruled.select("page_id", "host", "path", "rule", F.coalesce(by_rule, F.lit("allow")).alias("verdict"), F.lit(0.0).alias("llr"))
     held = F.pmod(F.crc32("url"), F.lit(HOLD_EVERY)) == 0
     cut = calibrate(score_urls(labelled.where(held), count_models(labelled.where(~held), scratch), "url"))
-    models = count_models(labelled, scratch)
-    by_rule = F.when(F.col("rule").isNotNull(), F.when(allowed, "allow").otherwise("block"))
-    scored = score_urls(ruled, models, "url")
+    scored = score_urls(ruled, count_models(labelled, scratch), "url")
     verdict = F.coalesce(by_rule, F.when(F.col("llr") >= cut, "allow").otherwise("block"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "llr")

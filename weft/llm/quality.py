@@ -1,12 +1,13 @@
 """Quality rules: rule statistics of whole texts, and an isolation forest over them.
 
 The statistics are exact and take one pass over the text. The forest isolates points by random
-splits; a short mean path marks an anomaly. Its trees are grown on subsamples of a bounded
-sample of documents (``SAMPLE`` rows of lowest hash), its threshold comes from all labelled rows.
+splits; a short mean path marks an anomaly. Each tree is grown on a subsample of its own, ``SUBSAMPLE``
+ids drawn by hash from all documents with words; the threshold comes from all labelled rows.
 
 Edge cases. A null or empty text has no words: all counts are 0 and it fails the base rules.
-Repeated rows stay, and count as often in the threshold's histogram. Without labelled rows of
-both kinds nothing is rejected beyond the base rules. An empty table gives an empty result.
+Repeated rows stay, and count as often in the threshold's histogram; rows that share an id are one in a
+tree's subsample. Without labelled rows of both kinds that pass the base rules nothing else is rejected.
+An empty table gives an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from weft.llm.scratch import Scratch
 
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 SYMBOLS = "#*$%&|<>"
-SAMPLE, TREES, SUBSAMPLE = 4096, 128, 256
+TREES, SUBSAMPLE, DRAW = 128, 256, 1.5
 #: A rejected good row costs as much as so many accepted bad ones.
 GOOD_COST = 4.0
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -104,25 +105,23 @@ def _depth_left(n: float) -> float:
 class IsolationForest:
     """Trees as flat arrays: feature (-1: leaf), threshold or path length, left child (right: next)."""
 
-    def __init__(self, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = 7):
-        self.trees, self.subsample, self.seed = trees, subsample, seed
+    def __init__(self, seed: int = 7):
+        self.seed = seed
         self.nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.scale = 1.0
 
-    def fit(self, x: np.ndarray) -> "IsolationForest":
+    def fit(self, subsamples: list[np.ndarray]) -> "IsolationForest":
+        """One tree for each subsample of points; path lengths are kept as shares of its mean search."""
         rng = np.random.default_rng(self.seed)
-        size = min(self.subsample, len(x))
-        self.scale = _depth_left(size) or 1.0
-        limit = int(np.ceil(np.log2(max(size, 2))))
-        for _ in range(self.trees):
+        for points in subsamples:
+            limit, scale = int(np.ceil(np.log2(max(len(points), 2)))), _depth_left(len(points)) or 1.0
             feature, value, child = [], [], []
-            todo = [(x[rng.choice(len(x), size, replace=False)], 0, self._slot(feature, value, child))]
+            todo = [(points, 0, self._slot(feature, value, child))]
             while todo:
                 part, depth, at = todo.pop()
                 low, high = part.min(0), part.max(0)
                 split = np.flatnonzero(high > low)
                 if depth >= limit or len(part) < 2 or not len(split):
-                    value[at] = depth + _depth_left(len(part))
+                    value[at] = (depth + _depth_left(len(part))) / scale
                     continue
                 f = rng.choice(split)
                 cut = rng.uniform(low[f], high[f])
@@ -154,15 +153,41 @@ class IsolationForest:
                 at[live] = child[here] + (x[live, feature[here]] > value[here])
                 live = live[feature[at[live]] >= 0]
             total += value[at]
-        return np.exp2(-total / len(self.nodes) / self.scale)
+        return np.exp2(-total / len(self.nodes))
+
+
+def subsamples(stats: DataFrame) -> list[np.ndarray]:
+    """Points for each tree: the ``SUBSAMPLE`` ids of lowest hash under the tree's own hash, of all documents with words."""
+    names = [c for c in stats.columns if c != "doc_id"]
+    usable = stats.where("n_words > 0")
+    total = usable.count()
+    # about DRAW times what a tree takes lies below this bound: what comes back has the same size at any number of documents
+    bound = np.uint64(min(2**64 - 1, int(2**64 * DRAW * SUBSAMPLE / max(total, 1))))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base = batch.column(0).to_numpy().astype(np.int64).view(np.uint64)
+            for tree in range(TREES):
+                with np.errstate(over="ignore"):
+                    h = base + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+                    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+                    h ^= h >> np.uint64(31)
+                at = np.flatnonzero(h <= bound)
+                if len(at):
+                    rows = pa.array(at)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), tree, np.int32)), pa.array((h[at] >> np.uint64(1)).astype(np.int64)), *(c.take(rows) for c in batch.columns[1:])], ["tree", "chance", *names])
+
+    drawn = usable.select(F.xxhash64("doc_id").alias("h"), *names).mapInArrow(draw, f"tree int, chance long, {STATS}")
+    rows = drawn.groupBy("tree", "chance").agg(F.min(F.struct(*names)).alias("r")).select("tree", "chance", "r.*").toPandas().sort_values(["tree", "chance"])
+    return [features(*(part[c].to_numpy(float)[:SUBSAMPLE] for c in names)) for _, part in rows.groupby("tree")]
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id``, the statistics, ``base_failed``, ``kept`` and ``anomaly`` (0 to 1)."""
     stats = scratch.save(document_stats(docs), "stats")
     names = [c for c in stats.columns if c != "doc_id"]
-    sample = stats.where("n_words > 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select(*names).toPandas()
-    forest = IsolationForest().fit(features(*(sample[c].to_numpy(float) for c in names))) if len(sample) else IsolationForest()
+    forest = IsolationForest().fit(subsamples(stats))
     shared = spark.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
@@ -180,7 +205,9 @@ def judge_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, scrat
 
 
 def best_cut(bins: list[tuple[int, int, int]]) -> float:
-    """Bin from which on rows are rejected: most bad rows less ``GOOD_COST`` times the good ones."""
+    """Bin from which on rows are rejected: most bad rows less ``GOOD_COST`` times the good ones; none without both kinds."""
+    if not sum(good for _, good, _ in bins) or not sum(bad for _, _, bad in bins):
+        return float("inf")
     best, cut, value = 0.0, float("inf"), 0.0
     for b, good, bad in sorted(bins, reverse=True):
         value += bad - GOOD_COST * good

@@ -6,17 +6,22 @@ positives lose as negatives, that difference never taken below zero. Features ar
 and word starts; a text's value for one is its count over the root of its number of words, so
 texts of any length compare. The threshold is set on labelled rows of the training folds.
 
-The classifier is fitted on a bounded sample (``MAX_POSITIVE``, ``MAX_UNLABELLED`` and
-``MAX_CALIBRATE`` documents of lowest hash); every whole text is scored.
+The classifier is fitted on a bounded sample of whole texts: ``MAX_POSITIVE``, ``MAX_UNLABELLED`` and
+``MAX_CALIBRATE`` ids of lowest hash, one row an id, in that order as long as ``MAX_SAMPLE_BYTES`` of text
+aren't passed. Every whole text is scored. The class prior is the share of toxic rows among the labelled
+ones of the training folds, held between ``LEAST_PRIOR`` and ``MOST_PRIOR`` (labels of one kind only give
+``MOST_PRIOR``).
 
 Edge cases. A null or empty text has no words and gets the score of the bias. Rows that share a
-doc_id are scored each; the highest of several labels counts. A null doc_id is never held out.
-Without confirmed toxic rows every score is 0. An empty table gives an empty result. Further
+doc_id are scored each, and one of them, the one of lowest text hash, may be learnt from; the highest of
+several labels counts. A null doc_id is never held out. Without confirmed toxic rows that have a text, or
+without further documents, every score is 0. An empty table gives an empty result. Further
 columns are ignored by :func:`score_toxicity` and kept by :func:`drop_toxic`.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +34,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from weft.llm import caches
 
 BUCKETS, STARTS = 1 << 18, (4, 5, 6)
-MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATE = 2000, 4000, 3000
+MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATE, MAX_SAMPLE_BYTES = 2000, 4000, 3000, 48 << 20
+LEAST_PRIOR, MOST_PRIOR = 0.01, 0.5
 FOLDS, HELD_OUT, ACCEPT = 4, 2, 0.3
 EPOCHS, RATE, DECAY, MIN_TEXTS, LEAST_Z = 60, 0.02, 1e-3, 4, 3.0
 CACHE_WORDS = 300_000
@@ -62,6 +68,24 @@ def _text_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return slots, (np.bincount(inverse, times) / np.sqrt(len(words))).astype(np.float32)
 
 
+def nn_risk(z: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """Non-negative PU risk of the logits: the positives' part, the corrected negatives' part, and the slope of
+    what training descends on: their sum, or less the second part where that is below zero."""
+    s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    as_negative = np.log1p(np.exp(np.clip(z, -30, 30)))
+    n_pos, n_unl = positive.sum(), (~positive).sum()
+    confirmed = prior * (as_negative[positive] - z[positive]).mean()
+    rest = as_negative[~positive].mean() - prior * as_negative[positive].mean()
+    slope = np.empty(len(z))
+    if rest >= 0:
+        slope[positive] = prior * (s[positive] - 1) / n_pos - prior * s[positive] / n_pos
+        slope[~positive] = s[~positive] / n_unl
+    else:  # walk back out of the negative part
+        slope[positive] = prior * s[positive] / n_pos
+        slope[~positive] = -s[~positive] / n_unl
+    return float(confirmed), float(rest), slope
+
+
 class PULearner:
     """Weights over all buckets and a bias; :meth:`fit` is full-batch Adam on the nnPU risk."""
 
@@ -70,32 +94,22 @@ class PULearner:
         self.slope, self.cut = 1.0, 0.0
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], positive: np.ndarray) -> "PULearner":
-        texts = np.bincount(np.concatenate([s for s, _ in rows]), minlength=BUCKETS)
+        texts = np.bincount(np.concatenate([s for s, _ in rows]), minlength=BUCKETS)  # a text names a bucket once
         used = np.flatnonzero(texts >= MIN_TEXTS)
         place = np.full(BUCKETS, -1, np.int32)
         place[used] = np.arange(len(used))
         column = np.concatenate([place[s] for s, _ in rows])
         value = np.concatenate([v for _, v in rows])
-        row = np.repeat(np.arange(len(rows)), [len(s) for s, _ in rows])
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(s) for s, _ in rows])
         keep = column >= 0
         column, value, row = column[keep], value[keep], row[keep]
         scale = self._scale(row, column, positive, len(used))
         value = (value * scale[column]).astype(np.float32)
         w, bias = np.zeros(len(used)), float(np.log(self.prior / (1 - self.prior)))
         m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
-        n_pos, n_unl, prior = positive.sum(), (~positive).sum(), self.prior
         for step in range(1, EPOCHS + 1):
             z = np.bincount(row, value * w[column], len(rows)) + bias
-            s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            negative = np.log1p(np.exp(np.clip(z, -30, 30)))
-            rest = negative[~positive].mean() - prior * negative[positive].mean()
-            slope = np.zeros(len(rows))
-            if rest >= 0:
-                slope[positive] = prior * (s[positive] - 1) / n_pos - prior * s[positive] / n_pos
-                slope[~positive] = s[~positive] / n_unl
-            else:  # walk back out of the negative part
-                slope[positive] = prior * s[positive] / n_pos
-                slope[~positive] = -s[~positive] / n_unl
+            slope = nn_risk(z, positive, self.prior)[2]
             g = np.bincount(column, value * slope[row], len(used)) + DECAY * w
             gb = slope.sum()
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -151,45 +165,59 @@ class PULearner:
         return score
 
 
-def _sampled(docs: DataFrame, ids: DataFrame) -> dict[str, list]:
-    """Features of the documents whose ids the bounded table ``ids`` (doc_id, role) names."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id").select("role", "text", "doc_id")
+def _sampled(docs: DataFrame, ids: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Features by id of the documents that the bounded table ``ids`` (doc_id, place) names, one row an id, in the
+    order of ``place`` as far as ``MAX_SAMPLE_BYTES`` of text go."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(ids), "doc_id")
+    chosen = rows.groupBy("doc_id", "place").agg(F.min(F.struct(F.xxhash64("text"), F.octet_length("text").alias("size"))).alias("r"))
+    fits, left = [], MAX_SAMPLE_BYTES
+    for r in sorted(chosen.select("doc_id", "place", "r.*").collect(), key=lambda r: r.place):
+        if r.size <= left:
+            left -= r.size
+            fits.append((r.doc_id, r[2]))
+    if not fits:
+        return {}
+    few = docs.sparkSession.createDataFrame(fits, "doc_id long, hash long")
+    one = rows.withColumn("hash", F.xxhash64("text")).join(F.broadcast(few), ["doc_id", "hash"]).select("doc_id", "text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # rows equal in id and text
         for batch in batches:
-            found = [_text_features(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([s.tobytes() for s, _ in found], pa.binary()), pa.array([v.tobytes() for _, v in found], pa.binary())], ["role", "doc_id", "slots", "times"])
+            out = []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if i not in seen:
+                    seen.add(i)
+                    slots, times = _text_features(text.as_py())
+                    out.append((i, slots.tobytes(), times.tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], ["doc_id", "slots", "times"])
 
-    got = rows.mapInArrow(extract, "role string, doc_id long, slots binary, times binary").toArrow().sort_by([("doc_id", "ascending")])
-    out: dict[str, list] = {"positive": [], "unlabelled": [], "toxic": [], "fine": []}
-    for role, slots, times in zip(*(got[c].to_pylist() for c in ("role", "slots", "times"))):
-        out[role].append((np.frombuffer(slots, np.int32), np.frombuffer(times, np.float32)))
-    return out
+    got = one.mapInArrow(extract, "doc_id long, slots binary, times binary").dropDuplicates(["doc_id"]).toArrow()
+    return {i.as_py(): (np.frombuffer(s.as_buffer(), np.int32), np.frombuffer(t.as_buffer(), np.float32)) for i, s, t in zip(*(got[c] for c in ("doc_id", "slots", "times")))}
 
 
 def fit_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> PULearner | None:
     """Classifier from labels of the training folds; None if they confirm nothing as toxic."""
     truth = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
     chance = F.xxhash64("doc_id")
-    picked = lambda rows, role, n: rows.orderBy(chance, "doc_id").limit(n).select("doc_id", F.lit(role).alias("role"))
-    positive = picked(truth.where("toxic = 1"), "positive", MAX_POSITIVE)
-    known = picked(truth, "known", MAX_CALIBRATE)
-    free = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").where(~held_out(F.col("doc_id")))
-    unlabelled = picked(free, "unlabelled", MAX_UNLABELLED)
-    named = {role: [r.doc_id for r in part.select("doc_id").collect()] for role, part in (("positive", positive), ("unlabelled", unlabelled))}
-    if not named["positive"]:
+    picked = lambda rows, n: rows.orderBy(chance, "doc_id").limit(n).collect()
+    positive = [r.doc_id for r in picked(truth.where("toxic = 1"), MAX_POSITIVE)]
+    if not positive:
         return None
-    toxic = {r.doc_id: r.toxic for r in known.join(truth, "doc_id").select("doc_id", "toxic").collect()}
-    counts = truth.agg(F.avg("toxic")).first()[0]
-    rows = [(i, "positive") for i in named["positive"]] + [(i, "unlabelled") for i in named["unlabelled"]] + [(i, "toxic" if t == 1 else "fine") for i, t in toxic.items()]
-    found = _sampled(docs.withColumn("doc_id", F.col("doc_id").cast("long")), spark.createDataFrame(rows, "doc_id long, role string"))
-    if not found["positive"] or not found["unlabelled"]:
+    known = {r.doc_id: int(r.toxic == 1) for r in picked(truth, MAX_CALIBRATE)}
+    free = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").where(~held_out(F.col("doc_id"))).distinct()
+    unlabelled = [r.doc_id for r in picked(free, MAX_UNLABELLED)]
+    turns = [x for part in itertools.zip_longest(positive, unlabelled, known) for x in part if x is not None]
+    ids = spark.createDataFrame(list(enumerate(dict.fromkeys(turns))), "place long, doc_id long")
+    found = _sampled(docs.withColumn("doc_id", F.col("doc_id").cast("long")), ids)
+    positive, unlabelled, known = [i for i in positive if i in found], [i for i in unlabelled if i in found], {i: t for i, t in known.items() if i in found}
+    if not positive or not unlabelled:
         return None
-    learner = PULearner(min(max(float(counts), 0.01), 0.5))
-    positives = len(found["positive"])
-    learner.fit(found["positive"] + found["unlabelled"], np.arange(positives + len(found["unlabelled"])) < positives)
-    marks = np.array([1] * len(found["toxic"]) + [0] * len(found["fine"]))
-    return learner.calibrate(found["toxic"] + found["fine"], marks) if marks.sum() else learner
+    share = truth.agg(F.avg("toxic")).first()[0]
+    learner = PULearner(min(max(float(share), LEAST_PRIOR), MOST_PRIOR))
+    learner.fit([found[i] for i in positive + unlabelled], np.arange(len(positive) + len(unlabelled)) < len(positive))
+    return learner.calibrate([found[i] for i in known], np.array(list(known.values()))) if any(known.values()) else learner
 
 
 def _scored(docs: DataFrame, learner: PULearner | None) -> DataFrame:

@@ -1,16 +1,21 @@
 """Mixture-controlled packing: deficit round-robin over one queue for each source.
 
-Every window of ``WINDOW`` tokens takes from each queue its quantum, the target share of the
-window, plus the deficit it carries: what the queue is owed so far less what it has got. Taking
-the next token always from the queue that is owed most (earliest finish at its share; ties to
-the first queue) makes the state before window w a function of w alone: :class:`Schedule` gives
-it for any w. So each task fills its own windows and takes over deficits exactly where the one
-before it leaves off; no task sees more than its part of the documents. A queue that runs dry
-leaves its share to the others. Documents are cut where a window ends.
+Every window of ``WINDOW`` tokens grants each queue its quantum, the target share of the window, on top of
+the deficit that the queue carries: what it is owed so far less what it has got. A queue pays a token at a
+time from what it is owed; the next token comes always from the queue whose next token is due first
+(token t at time (t + 0.5) / share; ties to the first queue). So a queue is never owed more than a token
+or so, and the state before window w, the deficits, is a function of w alone: :class:`Schedule` gives it
+for any w. Each task fills its own windows and takes over the deficits exactly where the one before it
+leaves off; no task sees more than its part of the documents. A queue that runs dry leaves its share to
+the others; a queue of share 0 is served once the others are dry. Documents are cut where a window ends.
+
+A stated mixture gives shares of sources by name. Sources it doesn't name split what it leaves of 1 by
+their tokens. The work for a document grows with the number of sources, of which there may be any number.
 
 Edge cases. A null text is empty: its only token is the end mark. A null source is the queue
 with the empty name. Repeated rows are packed each. An empty table gives an empty result.
-Further columns are ignored. Beyond ``MAX_QUEUES`` sources, queues are hash groups of sources.
+Further columns are ignored. Shares below 0, or of more than 1 together, are an error; names that no row
+has are ignored.
 """
 
 from __future__ import annotations
@@ -26,15 +31,26 @@ from pyspark.sql import functions as F
 from weft.llm import tokens
 from weft.llm.scratch import Scratch
 
-WINDOW, END_ID, MAX_QUEUES = 2048, 1, 4096
+WINDOW, END_ID = 2048, 1
 #: Texts are encoded together up to so many signs.
 CHUNK_SIGNS = 2_000_000
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, padded_to long"
 
 
+def target_shares(names: list[str], totals: np.ndarray, mixture: dict[str, float] | None) -> np.ndarray:
+    """Share of every queue: the stated one, else by its tokens what the stated ones leave of 1."""
+    mixture = mixture or {}
+    if any(x < 0 for x in mixture.values()) or sum(mixture.values()) > 1 + 1e-9:
+        raise ValueError("shares of a mixture must not be below 0, nor above 1 together")
+    stated = np.array([n in mixture for n in names], bool)
+    free = totals * ~stated
+    left = max(0.0, 1 - sum(mixture.values()))
+    return np.where(stated, [mixture.get(n, 0.0) for n in names], left * free / max(free.sum(), 1))
+
+
 @dataclass(frozen=True)
 class Schedule:
-    """``totals``: tokens of each queue; ``shares``: target weights, by default the totals."""
+    """Deficit round-robin in closed form. ``totals``: tokens of each queue; ``shares``: target weights, 0 or more."""
 
     totals: np.ndarray
     shares: np.ndarray
@@ -44,44 +60,75 @@ class Schedule:
     def all_tokens(self) -> int:
         return int(self.totals.sum())
 
+    @property
+    def levels(self) -> list["Schedule"]:
+        """Queues with a share, then those that wait until these are dry, by their tokens."""
+        late = self.shares <= 0
+        now = Schedule(np.where(late, 0, self.totals), np.where(late, 1.0, self.shares), self.window)
+        return [now, Schedule(np.where(late, self.totals, 0), np.where(late, np.maximum(self.totals, 1), 1.0), self.window)] if late.any() else [now]
+
     def _below(self, x: np.ndarray, q: int) -> np.ndarray:
-        """Tokens of queue q that finish before x; token t finishes at (t + 0.5) / share."""
+        """Tokens of queue q that are due before x; token t is due at (t + 0.5) / share."""
         g = self.shares[q]
         n = np.ceil(x * g - 0.5)
         n += (n + 0.5) / g < x
         n -= (n - 0.5) / g >= x
         return np.clip(n, 0, self.totals[q]).astype(np.int64)
 
-    def rank(self, t: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Place of token t of queue q among all tokens."""
+    def _rank(self, t: np.ndarray, q: np.ndarray) -> np.ndarray:
         x = (t + 0.5) / self.shares[q]
         out = np.zeros(len(t), np.int64)
-        for other in range(len(self.totals)):
+        for other in np.flatnonzero(self.totals):
             n = self._below(x, other)
             tie = (other < q) & (n < self.totals[other]) & ((n + 0.5) / self.shares[other] == x)
             out += np.where(other == q, t, n + tie)
         return out
 
-    def taken(self, windows: np.ndarray) -> np.ndarray:
-        """Tokens that each queue has given before each window: the state that deficits define."""
-        goal = np.minimum(windows.astype(np.int64) * self.window, self.all_tokens)
-        low, high = np.zeros(len(goal)), np.full(len(goal), (self.totals / self.shares).max() + 1.0)
-        queues = range(len(self.totals))
+    def rank(self, t: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Place of token t of queue q among all tokens."""
+        out, before = np.zeros(len(t), np.int64), 0
+        for level in self.levels:
+            own = level.totals[q] > 0
+            out[own] = before + level._rank(t[own], q[own])
+            before += level.all_tokens
+        return out
+
+    def _taken(self, goal: np.ndarray) -> np.ndarray:
+        queues = np.flatnonzero(self.totals)
+        low, high = np.zeros(len(goal)), np.full(len(goal), (self.totals / self.shares).max(initial=0) + 1.0)
         for _ in range(1100):
             middle = low + (high - low) / 2
             if not ((middle > low) & (middle < high)).any():
                 break
             fits = sum(self._below(middle, q) for q in queues) <= goal
             low, high = np.where(fits, middle, low), np.where(fits, high, middle)
-        out = np.stack([self._below(low, q) for q in queues], 1)
+        out = np.zeros((len(goal), len(self.totals)), np.int64)
+        for q in queues:
+            out[:, q] = self._below(low, q)
         rest = goal - out.sum(1)
-        for q in queues:  # tokens that finish exactly there, first queue first
+        for q in queues:  # tokens that are due exactly there, first queue first
             tie = (rest > 0) & (out[:, q] < self.totals[q]) & ((out[:, q] + 0.5) / self.shares[q] == low)
             out[:, q] += tie
             rest -= tie
         out[goal == self.all_tokens] = self.totals
         return out
 
+    def taken(self, windows: np.ndarray) -> np.ndarray:
+        """Tokens that each queue has given before each window: the state that deficits define."""
+        goal, out, before = windows.astype(np.int64) * self.window, 0, 0
+        for level in self.levels:
+            out = out + level._taken(np.clip(goal - before, 0, level.all_tokens))
+            before += level.all_tokens
+        return out
+
+    def quanta(self, windows: np.ndarray) -> np.ndarray:
+        """Tokens that each queue gives to each window: its share of it and the deficit it carried, in whole tokens."""
+        return self.taken(windows + 1) - self.taken(windows)
+
+    def deficits(self, windows: np.ndarray) -> np.ndarray:
+        """What each queue is still owed before each window, as long as no queue is dry."""
+        return windows[:, None] * self.window * self.shares / self.shares.sum() - self.taken(windows)
+
 
 def tokenize(docs: DataFrame, vocabulary: str, queue, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of every document with the end mark, its task, and where it starts in its queue there."""
@@ -137,10 +184,8 @@ def cut_pieces(schedule: Schedule, queue: np.ndarray, first: np.ndarray, size: n
 def pack(spark: SparkSession, docs: DataFrame, scratch: Scratch, vocabulary: str, mixture: dict[str, float] | None = None, source_col: str = "source") -> DataFrame:
     """Rows of ``PIECES``; ``ids`` are little-endian unsigned 32-bit numbers.
 
-    ``mixture``: target share of each source; sources without one get their share of tokens."""
+    ``mixture``: target shares of the tokens of a window by source; by default every source's share of all tokens."""
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
-    if docs.agg(F.approx_count_distinct(source)).first()[0] > MAX_QUEUES:
-        source = F.concat(F.lit("#"), F.pmod(F.xxhash64(source), F.lit(MAX_QUEUES)).cast("string"))
     encoded = scratch.save(tokenize(docs, vocabulary, source), "tokens")
     given = encoded.groupBy("part", "queue").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -148,8 +193,7 @@ def pack(spark: SparkSession, docs: DataFrame, scratch: Scratch, vocabulary: str
     totals = bases.groupBy("queue").agg(F.sum("n").alias("n")).orderBy("queue").collect()
     names = [r.queue for r in totals]
     sizes = np.array([r.n for r in totals], np.int64)
-    shares = np.array([(mixture or {}).get(r.queue, r.n / max(int(sizes.sum()), 1)) for r in totals]) if mixture else sizes.astype(float)
-    schedule, number = Schedule(sizes, shares), {q: i for i, q in enumerate(names)}
+    schedule, number = Schedule(sizes, target_shares(names, sizes, mixture) if mixture else sizes.astype(float)), {q: i for i, q in enumerate(names)}
     rest = schedule.all_tokens % WINDOW
     last, last_size = schedule.all_tokens // WINDOW, rest if rest & (rest - 1) == 0 else WINDOW
 

@@ -195,7 +195,7 @@ def test_statistics(spark):
 
 def test_vectors(spark):
     rows = spark.createDataFrame([(1, 0, [1.0, 2.0], 0.25), (1, 1, [3.0, 6.0], 0.75)], "k int, o int, v array<double>, w double")
-    assert vector.pooled(rows, "k", "o", "v", 2).first().pooled == [2.0, 4.0] and vector.pooled(rows, "k", "o", "v", 2, "w").first().pooled == [2.5, 5.0]
+    assert vector.pooled(rows, "k", "v").first().pooled == [2.0, 4.0] and vector.pooled(rows, "k", "v", "w").first().pooled == [2.5, 5.0]
     pairs = spark.createDataFrame([(0, 0, [1.0, 0.0], [1.0, 0.0]), (0, 1, [0.0, 1.0], [0.0, 2.0]), (0, 2, [0.0, 0.0], [1.0, 1.0])], "b int, r int, x array<double>, y array<double>")
     got = vector.ntxent(vector.batch_logits(pairs, "b", "r", "x", "y"), "b").first()
     assert got.n == 2 and got.accuracy == 1.0 and got.loss < 1e-5
@@ -223,7 +223,7 @@ def test_sources(spark, tmp_path):
     new = spark.createDataFrame([(1, "a", 1)], "k int, v string, seq int")
     for _ in range(2):
         io.upsert_table(spark, str(tmp_path / "t"), new, ["k"], "seq")
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+    assert io.read_table(spark, str(tmp_path / "t")).count() == 1
     assert io.parse_targets("# list\n- type: post\n  url: 'u1' # x\n- url: u2\n  category: c\n") == [{"type": "post", "url": "u1"}, {"url": "u2", "category": "c"}]
     (tmp_path / "w.log").write_text("start\nitem 1\nitem 2\nend\n")
     assert io.last_log_lines(spark, str(tmp_path), "item").first().line == "item 2"
@@ -288,3 +288,61 @@ def test_comments_from_a_captured_page(spark):
     rows = elements.comment_rows(spark.createDataFrame([("p", page), ("q", None)], "post string, html string"), "post", "html").orderBy("ordinal").collect()
     assert [(r.comment_id if k == 0 else None, r.author_id, r.raw_text, r.like_count) for k, r in enumerate(rows)] == [("77", "ann", "hi #tag \U0001f600", 3), (None, "bo", "yes", 0)]
     assert rows[0].hashtags == ["tag"] and rows[1].mentioned_users[0].name == "Ann" and rows[1].names[0] == "Ann" and rows[1].image_urls == ["http://scontent.x/1.jpg"]
+
+
+def test_upserts_that_fail_leave_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert io.current_version(spark, path) is None
+    for k in range(4):
+        io.upsert_table(spark, path, spark.createDataFrame([(1, k), (k, k)], "k int, seq int"), ["k"], "seq")
+    bad = spark.createDataFrame([(9, 9)], "k int, seq int").withColumn("k", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        io.upsert_table(spark, path, bad, ["k"], "seq")
+    assert sorted((r.k, r.seq) for r in io.read_table(spark, path).collect()) == [(0, 0), (1, 3), (2, 2), (3, 3)]
+    assert len([d for d in (tmp_path / "t").iterdir() if d.is_dir()]) <= 3
+
+
+def test_deep_trees_cycles_and_long_ordinals(spark):
+    chain = [("p", f"c{i}", f"c{i - 1}" if i else None, i) for i in range(300)]
+    lost = [("p", "x", "unknown", 900), ("p", "y", "x", 901), ("p", "a", "b", 902), ("p", "b", "a", 903), ("q", "c0", None, 0)]
+    rows = spark.createDataFrame(chain + lost, "post_id string, comment_id string, parent_id string, ordinal long")
+    got = {(r.post_id, r.comment_id): (r.depth, r.path) for r in tree.walk(rows).collect()}
+    assert len(got) == 301 and all(got["p", f"c{i}"][0] == i for i in range(300))
+    assert got["p", "c299"][1] == ".".join(f"{i:010d}" for i in range(300))
+    nested = tree.nested_json(tree.walk(rows), rows.select("post_id", "comment_id", F.to_json(F.struct("comment_id")).alias("body"))).where("post_id = 'p'").first().comment_tree
+    assert nested.startswith('[{"comment_id":"c0","replies":[{"comment_id":"c1","replies":[') and nested.endswith("]}" * 300 + "]")
+    with pytest.raises(Exception, match="more than 10 digits"):
+        tree.walk(rows.limit(1).withColumn("ordinal", F.lit(10**11)))
+
+
+def test_ordinals_over_many_ranges(spark):
+    rows = spark.range(0, 9000, 3).withColumn("k", F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 6, "0"))).repartition(5)
+    assert [r.ordinal for r in merge.dense_ordinal(rows, "k").orderBy("k").collect()] == list(range(3000))
+    assert merge.dense_ordinal(rows.limit(0), "k").count() == 0
+
+
+def test_windows_in_spans(spark):
+    times = [0, 30, 59, 60, 61, 3599, 3600, 3601, 3658, 3659, 7300]
+    rows = spark.createDataFrame([("k", i, t) for i, t in enumerate(times)], "k string, user int, t long").withColumn("ts", F.timestamp_seconds("t"))
+    got = {r.t: r.recent for r in stats.rolling_count(rows, "k", "ts").collect()}
+    assert got == {t: sum(t - 60 < s <= t for s in times) for t in times}
+    decay = {r.t: r.weight for r in edges.time_decay(rows.withColumnRenamed("k", "key"), 100.0).collect()}
+    assert decay[0] is None and all(abs(decay[b] - 2.718281828459045 ** (-(b - a) / 100)) < 1e-6 for a, b in zip(times, times[1:]))
+
+
+def test_session_zone_does_not_matter(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert one(spark, text.epoch_iso(F.col("a").cast("long")), "-1") == "1969-12-31T23:59:59+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("t,n", [("\t3K", 3000), ("\n12\u00a0", 12), ("\u2003 4,5 ", 45)])
+def test_white_space_around_counts(spark, t, n):
+    assert one(spark, text.parse_count(F.col("a")), t) == n
+
+
+@pytest.mark.parametrize("url,expected", [("https://f.com/x?id=%zz", "https://f.com/x?id=%25zz"), ("https://f.com/x?v=1&id=2&v=3", "https://f.com/x?v=1&v=3&id=2"), ("https://f.com/x?id=%E9", "https://f.com/x?id=%EF%BF%BD")])
+def test_odd_urls(spark, url, expected):
+    assert one(spark, urls.normalize_url(F.col("a")), url) == expected

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from weft.functions.text import clean_text, comment_id, hashtags, is_comment_noise, like_label, mentions, parent_names
-from weft.functions.urls import SITE, user_id
+from weft.functions.text import clean_text, comment_id, epoch_iso, follower_count, hashtags, heading_author, is_comment_noise, like_label, mentions, parent_names, strip
+from weft.functions.urls import SITE, absolute_href, author_slug, first_match, user_id
 
 _FIELDS = ("label", "author_name", "author_href", "text", "like_label", "numeric_id")
 ELEMENT = StructType([StructField("ordinal", LongType()), *[StructField(f, StringType()) for f in _FIELDS], StructField("images", ArrayType(StringType())), StructField("links", ArrayType(StructType([StructField("name", StringType()), StructField("href", StringType())])))])
@@ -115,7 +115,44 @@ def meta(html: Column, name: str) -> Column:
     return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, 1))
 
 
+def author_by_slug(links: Column, url: Column) -> Column:
+    """Struct of user_id and name: the first link (array of name and href) that leads to the owner of a post's path
+    and to nothing below, with a name of at least two signs that doesn't start with a digit."""
+    slug = F.lower(author_slug(url))
+    path = lambda href: F.lower(first_match(href, "^[a-zA-Z]+://[^/?#]*/+([^/?#]+)/*(?:[?#]|$)"))
+    name = lambda x: F.trim(F.regexp_replace(x["name"], r"(?U)\s+", " "))
+    good = F.filter(links, lambda x: (path(x["href"]) == slug) & (F.length(name(x)) >= 2) & ~name(x).rlike("^[0-9]"))
+    first = F.get(good, F.lit(0))
+    return F.when(first.isNotNull(), F.struct(user_id(first["href"]).alias("user_id"), name(first).alias("name")))
+
+
+def author(links: Column, url: Column, heading: Column) -> Column:
+    """Struct of user_id and name: the first link with a name, else the owner of the path, else the heading's name."""
+    named = F.get(F.filter(links, lambda x: F.coalesce(strip(x["name"]), F.lit("")) != ""), F.lit(0))
+    direct = F.when(named.isNotNull(), F.struct(user_id(absolute_href(named["href"])).alias("user_id"), strip(named["name"]).alias("name")))
+    said = heading_author(heading)
+    by_heading = F.when(said.isNotNull(), F.struct(F.lit(None).cast("string").alias("user_id"), said.alias("name")))
+    return F.coalesce(direct, author_by_slug(links, url), by_heading)
+
+
+def timestamp(utime: Column, label: Column) -> Column:
+    """ISO time of an epoch attribute, else the label that says how long ago."""
+    return F.coalesce(epoch_iso(utime.try_cast("bigint")), F.nullif(label, F.lit("")))
+
+
 def profile(html: Column, url: Column) -> Column:
-    """Struct of user_id, display_name (more than one sign), bio (cleaned)."""
-    name = meta(html, "og:title")
-    return F.struct(user_id(url).alias("user_id"), F.when(F.length(name) > 1, name).alias("display_name"), clean_text(meta(html, "og:description")).alias("bio"))
+    """Struct of user_id (``unknown`` without one), display_name (more than one sign), bio (cleaned), image, flags,
+    counts (null unless positive) and location of a profile page."""
+    name = strip(meta(html, "og:title"))
+    counted = lambda word: follower_count(first_match(html, rf"(?iu)([0-9][0-9,.]*[kKmM]?)\s+{word}"))
+    return F.struct(
+        F.coalesce(user_id(url), F.lit("unknown")).alias("user_id"),
+        F.when(F.length(name) > 1, name).alias("display_name"),
+        clean_text(meta(html, "og:description")).alias("bio"),
+        meta(html, "og:image").alias("profile_image_url"),
+        F.coalesce(counted("followers"), counted("người theo dõi")).alias("follower_count"),
+        counted("friends").alias("friend_count"),
+        html.rlike('aria-label="[^"]*[vV]erified').alias("is_verified"),
+        (F.contains(url, F.lit("pages")) | F.contains(html, F.lit("page-info-section"))).alias("is_page"),
+        first_match(html, "(?:Lives in|Sống tại)\\s+([^<]+)").alias("location"),
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from weft.functions.text import parse_count
 from weft.functions.urls import SITE, drop_query, first_match
 
 # Reaction kinds and their columns, patterns of counts, keys of numeric ids, sizes of windows.
@@ -19,6 +20,14 @@ SHARES = (r'"share_count"\s*:\s*\{\s*"count"\s*:\s*([0-9]+)', r'"reshare_count"\
 COMMENTS = r'"count"\s*:\s*[0-9]+\s*,"page_size"\s*:\s*[0-9]+\s*,"total_count"\s*:\s*([0-9]+)\s*,"is_not_behind_the_fold"'
 ID_KEYS = ("story_id", "post_id", "node_id")
 BEFORE, AFTER, AFTER_COMMENTS = 5000, 30000, 50000
+# Names of reactions in labels of two languages with the words behind their counts, counts in a page's text.
+LABELS = (
+    ({"Thích": "like", "Yêu thích": "love", "Haha": "haha", "Wow": "wow", "Buồn": "sad", "Phẫn nộ": "angry", "Thương thương": "care"}, "người"),
+    ({"Like": "like", "Love": "love", "Haha": "haha", "Wow": "wow", "Sad": "sad", "Angry": "angry", "Care": "care"}, "people"),
+)
+LABEL_COUNT = r"([0-9,.]+[kKmM]?)\s*"
+BODY_COUNT = r"([0-9][,0-9]*\.?[0-9]*\s*[kKmMtT]?)\s*"
+BODY_WORDS = {"like": r"(?:lượt thích|thích\b|likes?\b)", "comment_count": r"(?:bình luận\b|comments?\b)", "share_count": r"(?:lượt chia sẻ|chia sẻ\b|shares?\b)"}
 
 
 def post_links(body: Column, slug: Column, site: str = SITE) -> Column:
@@ -67,6 +76,26 @@ def reactions(html: Column) -> Column:
     return F.struct(*[values[n].alias(n) for n in names])
 
 
+def label_reactions(labels: Column, body: Column) -> Column:
+    """Struct of seven reaction counts, comment_count and share_count out of the labels of a page's elements.
+
+    The first label that holds a kind's name gives its count; names of the second language count where the first gave 0.
+    Only where all are 0 the page's text is asked for likes, comments and shares."""
+    zero = F.lit(0).cast("bigint")
+    values = {kind: zero for kind in LABELS[0][0].values()}
+    for names, unit in LABELS:
+        for name, kind in names.items():
+            first = F.get(F.filter(labels, lambda x: F.contains(x, F.lit(f"{name}:"))), F.lit(0))
+            n = parse_count(first_match(first, "(?iu)" + LABEL_COUNT + unit))
+            values[kind] = F.when(values[kind] > 0, values[kind]).otherwise(n)
+    none = F.lit(True)
+    for v in values.values():
+        none = none & (v == 0)
+    said = {k: parse_count(F.regexp_replace(first_match(body, "(?iu)" + BODY_COUNT + words), " ", "")) for k, words in BODY_WORDS.items()}
+    values = {**values, "comment_count": zero, "share_count": zero}
+    return F.struct(*[(F.when(none, said[k]).otherwise(v) if k in said else v).alias(k) for k, v in values.items()])
+
+
 def share_count(html: Column) -> Column:
     return F.coalesce(*[first_match(html, p).try_cast("bigint") for p in SHARES], F.lit(0).cast("bigint"))
 

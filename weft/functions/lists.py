@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weft.functions.urls import SITE, user_id
+from weft.functions.text import strip
+from weft.functions.urls import SITE, is_photo_url, user_id
 
 
 def unique_links(hrefs: Column, reserved: tuple[str, ...], most: int = 30) -> Column:
     """Profile ids of the first ``most`` links, without reserved slugs, distinct in order."""
-    ids = F.filter(F.transform(F.slice(hrefs, F.lit(1), F.lit(most)), user_id), lambda x: x.isNotNull() & ~x.isin(*reserved))
+    ids = F.filter(F.transform(F.slice(hrefs, F.lit(1), F.lit(most)), lambda x: user_id(x)), lambda x: x.isNotNull() & ~x.isin(*reserved))
     return F.array_distinct(ids)
 
 
@@ -42,7 +43,7 @@ def has_media(urls: Column, mark: str = "scontent") -> Column:
 
 
 def is_empty_post(text: Column, images: Column) -> Column:
-    return (F.coalesce(F.trim(text), F.lit("")) == "") & (F.coalesce(F.size(images), F.lit(0)) <= 0)
+    return (F.coalesce(strip(text), F.lit("")) == "") & (F.coalesce(F.size(images), F.lit(0)) <= 0)
 
 
 def legacy_images(post_id: Column, local_images: Column, image_nodes: Column) -> Column:
@@ -65,3 +66,8 @@ def total_reactions(*counts: Column) -> Column:
     for c in counts:
         out = out + F.coalesce(c, F.lit(0))
     return out
+
+
+def post_type(url: Column) -> Column:
+    """``photo`` for links of single photos, else ``post``."""
+    return F.when(F.coalesce(is_photo_url(url), F.lit(False)), "photo").otherwise("post")

@@ -45,6 +45,11 @@ URL_EXTENSIONS = (".jpg", ".jpeg", ".png", ".gif", ".webp", ".mp4", ".webm")
 EMOJI = "[\\x{10000}-\\x{10FFFF}\\x{24C2}-\\x{D7FF}\\x{E000}-\\x{FFFF}]+"
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
+
+
 def _all(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(group))
 
@@ -81,7 +86,7 @@ def clean_text(text: Column) -> Column:
 
 def parse_count(text: Column) -> Column:
     """``1,234`` and ``1.234`` are 1234; k, m and b multiply what is left without signs (``1.2K``: 12000)."""
-    plain = F.lower(F.regexp_replace(F.trim(F.coalesce(text, F.lit(""))), "[,.]", ""))
+    plain = F.lower(F.regexp_replace(strip(F.coalesce(text, F.lit(""))), "[,.]", ""))
     number = lambda t: F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint"))
     head, out = F.substr(plain, F.lit(1), F.greatest(F.length(plain) - 1, F.lit(0))), number(plain)
     for sign, factor in (("k", 1_000), ("m", 1_000_000), ("b", 1_000_000_000)):
@@ -106,26 +111,29 @@ def relative_time(text: Column, captured_at: Column) -> Column:
 
 
 def epoch_iso(seconds: Column) -> Column:
-    """ISO 8601 in UTC; the session's zone has to be UTC."""
-    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    """ISO 8601 in UTC, whatever the session's zone is."""
+    rest = F.pmod(seconds, F.lit(86400))
+    part = lambda size, of: F.lpad(F.floor(rest / size % of).cast("string"), 2, "0")
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int")), "yyyy-MM-dd")
+    return F.concat(day, F.lit("T"), part(3600, 24), F.lit(":"), part(60, 60), F.lit(":"), part(1, 60), F.lit("+00:00"))
 
 
 def match_norm(text: Column) -> Column:
     """For comparing titles: no symbols, NFC, single spaces."""
     plain = F.regexp_replace(text, r"[\x{10000}-\x{10FFFF}\x{2600}-\x{27BF}\x{2B50}\x{2B55}\x{FE00}-\x{FE0F}\x{203C}\x{2049}]", "")
-    return F.trim(F.regexp_replace(nfc(plain), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(nfc(plain), r"(?U)[\s\x1C-\x1F]+", " "))
 
 
 def title_excerpt(title: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(title, r"^\([0-9]+\)\s*[^-]+-\s*", ""), r"\s*\|.*$", ""))
+    return strip(F.regexp_replace(F.regexp_replace(title, r"^\([0-9]+\)\s*[^-]+-\s*", ""), r"\s*\|.*$", ""))
 
 
 def is_post_noise(text: Column, author: Column) -> Column:
     """Lines of the interface rather than of a post."""
-    t = F.trim(text)
-    words = F.filter(F.split(t, r"\s+"), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.trim(x) != "")
-    singles = F.size(F.filter(lines, lambda x: F.length(F.trim(x)) <= 1))
+    t = strip(text)
+    words = F.filter(F.split(t, r"(?U)\s+"), lambda w: w != "")
+    lines = F.filter(F.split(t, "\n"), lambda x: strip(x) != "")
+    singles = F.size(F.filter(lines, lambda x: F.length(strip(x)) <= 1))
     name = F.coalesce(author, F.lit(""))
     return (
         (F.length(t) < 5)
@@ -145,28 +153,28 @@ def is_comment_noise(author: Column, text: Column, href: Column, site: str) -> C
 def is_truncated(text: Column, marks: tuple[str, ...] = ("Xem thêm", "See more", "…")) -> Column:
     out = F.lit(False)
     for mark in marks:
-        out = out | F.rtrim(text).endswith(mark)
+        out = out | strip(text).endswith(mark)
     return out
 
 
 def content_key(author_id: Column, author_name: Column, text: Column) -> Column:
     """Key of a comment's content: author and first sixty signs."""
-    return F.concat(F.coalesce(F.nullif(author_id, F.lit("")), author_name, F.lit("")), F.lit(":"), F.substring(F.trim(text), 1, 60))
+    return F.concat(F.coalesce(F.nullif(author_id, F.lit("")), author_name, F.lit("")), F.lit(":"), F.substring(strip(text), 1, 60))
 
 
 def heading_author(heading: Column) -> Column:
-    plain = F.trim(F.regexp_replace(heading, r"\s+", " "))
+    plain = F.trim(F.regexp_replace(heading, r"(?U)\s+", " "))
     return F.nullif(first_match(plain, "^(?:" + "|".join(HEADING_PREFIXES) + ")(.{2,})$"), F.lit(""))
 
 
 def parent_names(label: Column) -> Column:
     """Names that the ordered patterns find in a label; a join takes the first that is known."""
-    return F.array_compact(F.array(*[F.trim(first_match(label, "(?iu)" + p)) for p in PARENT_PATTERNS]))
+    return F.array_compact(F.array(*[strip(first_match(label, "(?iu)" + p)) for p in PARENT_PATTERNS]))
 
 
 def follower_count(text: Column) -> Column:
     """First word as a count; null unless positive."""
-    n = parse_count(F.element_at(F.split(F.trim(text), r"\s+"), 1))
+    n = parse_count(F.element_at(F.split(strip(text), r"(?U)\s+"), 1))
     return F.when(n > 0, n)
 
 

@@ -33,15 +33,33 @@ def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
 
 
+def _decoded(part: Column) -> Column:
+    """Form decoding; a percent sign without two hex digits behind it stands for itself."""
+    return F.try_url_decode(F.regexp_replace(part, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def _encoded(part: Column) -> Column:
+    """Form encoding that leaves letters, digits, ``_``, ``.``, ``-`` and ``~`` as they are."""
+    return F.replace(F.replace(F.url_encode(part), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def normalize_url(url: Column, keys: tuple[str, ...] = KEPT_KEYS) -> Column:
-    """Without fragment and without query parameters other than ``keys``; blank values go, order stays."""
-    plain = F.substring_index(url, "#", 1)
-    query = F.when(F.contains(plain, F.lit("?")), F.substring(plain, F.instr(plain, "?") + 1, F.length(plain))).otherwise("")
+    """Without fragment and without query parameters other than ``keys``; blank values go.
+
+    Parameters stay in the order of their first appearance, repeated ones side by side, in one encoding;
+    the scheme is in lower case, tabs and line ends go."""
+    clean = F.regexp_replace(F.regexp_replace(url, "[\t\r\n]", ""), "^[\\x00-\\x20]+", "")
+    plain = F.substring_index(clean, "#", 1)
+    base, query = F.substring_index(plain, "?", 1), F.when(F.contains(plain, F.lit("?")), F.substring(plain, F.instr(plain, "?") + 1, F.length(plain))).otherwise("")
     name = lambda p: F.substring_index(p, "=", 1)
     value = lambda p: F.substr(p, F.length(name(p)) + 2)
-    kept = F.filter(F.split(query, "&"), lambda p: name(p).isin(*keys) & (value(p) != ""))
-    encoded = F.transform(kept, lambda p: F.concat(name(p), F.lit("="), F.url_encode(F.url_decode(value(p)))))
-    return F.concat(F.substring_index(plain, "?", 1), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(encoded, "&"))).otherwise(""))
+    given = F.transform(F.filter(F.split(query, "&"), lambda p: value(p) != ""), lambda p: F.struct(_decoded(name(p)).alias("k"), _decoded(value(p)).alias("v")))
+    kept = F.filter(given, lambda p: p["k"].isin(*keys))
+    grouped = F.flatten(F.transform(F.array_distinct(F.transform(kept, lambda p: p["k"])), lambda k: F.filter(kept, lambda p: p["k"] == k)))
+    shown = F.array_join(F.transform(grouped, lambda p: F.concat(p["k"], F.lit("="), _encoded(p["v"]))), "&")
+    scheme = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
+    lower = F.concat(F.lower(scheme), F.substr(base, F.length(scheme) + 1))
+    return F.concat(lower, F.when(F.size(kept) > 0, F.concat(F.lit("?"), shown)).otherwise(""))
 
 
 def post_id(url: Column) -> Column:

@@ -134,10 +134,50 @@ def similar_posts(tags: DataFrame, max_tag_posts: int | None = None) -> DataFram
     return shared.select("post_a", "post_b", "n_shared", F.bround(score, 4).alias("score"))
 
 
+def hashtag_nodes(tags: DataFrame) -> DataFrame:
+    """hashtag, frequency, post_ids: one node a tag over all posts, the ids sorted."""
+    one = tags.select("post_id", F.explode("hashtags").alias("hashtag")).distinct()
+    return one.groupBy("hashtag").agg(F.count("*").alias("frequency"), F.sort_array(F.collect_list("post_id")).alias("post_ids"))
+
+
+def sample_tags(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """post_id, hashtag: distinct tags of a post and of its comments (hashtags: array in both)."""
+    both = posts.select("post_id", F.explode("hashtags").alias("hashtag")).unionByName(comments.select("post_id", F.explode("hashtags").alias("hashtag")))
+    return both.distinct()
+
+
+def author_nodes(posts: DataFrame) -> DataFrame:
+    """user_id, display_name of a post's author, if it has one."""
+    return posts.where(given(F.col("author_id"))).select("post_id", F.col("author_id").alias("user_id"), F.coalesce("author_name", F.lit("")).alias("display_name"))
+
+
+# Relations between users that edges may state.
+RELATIONS = ("follow", "friend", "mention", "mention_rev", "reply", "reply_rev", "tag", "co_occur", "share_chain", "topic")
+
+
+def relation_edges(rows: DataFrame) -> DataFrame:
+    """From source, target, relation, timestamp: given edges of a known relation with their deterministic ids, each once,
+    the first timestamp; ``is_mutual`` where the opposite edge is there too."""
+    known = rows.where(F.col("relation").isin(*RELATIONS) & given(F.col("source")) & given(F.col("target")))
+    one = known.groupBy("source", "target", "relation").agg(F.min("timestamp").alias("timestamp"))
+    # both directions of a pair meet under one key, so that a pair is found without a self-join
+    pair = [F.least("source", "target"), F.greatest("source", "target"), F.col("relation")]
+    ways = one.groupBy(*[c.alias(n) for c, n in zip(pair, ("a", "b", "relation"))]).agg(F.collect_list(F.struct("source", "target", "timestamp")).alias("ways"))
+    out = ways.select("relation", (F.size("ways") > 1).alias("is_mutual"), F.inline("ways"))
+    return out.select(uuid5_hex(F.concat_ws("|", "source", "target", "relation")).alias("edge_id"), "source", "target", "relation", "is_mutual", "timestamp")
+
+
 def time_decay(rows: DataFrame, tau_seconds: float) -> DataFrame:
-    """From key, user, ts: weight of consecutive interactions, exp(-dt / tau)."""
+    """From key, user, ts: weight of consecutive interactions, exp(-dt / tau).
+
+    A key's rows are dealt into hours; the first row of an hour takes its predecessor from the table of hours."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("key").orderBy("ts", "user")
-    dt = (F.unix_micros("ts") - F.unix_micros(F.lag("ts").over(w))) / 1e6
-    return rows.withColumn("weight", F.round(F.exp(-dt / tau_seconds), 6))
+    at = F.unix_micros("ts")
+    dealt = rows.withColumn("__hour", F.floor(at / 3_600_000_000))
+    inside = Window.partitionBy("key", "__hour").orderBy("ts", "user")
+    last = dealt.groupBy("key", "__hour").agg(F.max("ts").alias("__last"))
+    before = last.select("key", "__hour", F.lag("__last").over(Window.partitionBy("key").orderBy("__hour")).alias("__before"))
+    both = dealt.withColumn("__own", F.lag("ts").over(inside)).join(before, ["key", "__hour"])
+    dt = (at - F.unix_micros(F.coalesce("__own", "__before"))) / 1e6
+    return both.withColumn("weight", F.round(F.exp(-dt / tau_seconds), 6)).drop("__hour", "__own", "__before")

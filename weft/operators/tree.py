@@ -2,36 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weft.scratch import Scratch
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage where a checkpoint folder is set; else keep the level in memory and on disk."""
-    session = df.sparkSession
-    folder = session.conf.get("spark.checkpoint.dir", "")
-    if folder:
-        session.sparkContext.setCheckpointDir(folder)
-        return df.checkpoint()
-    return df.persist()
+DIGITS = 10
 
 
-def walk(comments: DataFrame, max_depth: int = 10_000) -> DataFrame:
+def padded(ordinal: Column, digits: int = DIGITS) -> Column:
+    """An ordinal as text that sorts like a number; one of more digits is an error, not cut."""
+    text = ordinal.cast("string")
+    return F.when(F.length(text) <= digits, F.lpad(text, digits, "0")).when(text.isNotNull(), F.raise_error(F.concat(F.lit(f"ordinal of more than {digits} digits: "), text)))
+
+
+def walk(comments: DataFrame) -> DataFrame:
     """Every comment that a root reaches: post_id, comment_id, parent_id, depth, path.
 
-    ``path`` joins zero-padded ordinals, so its order is preorder. Comments with an unknown
-    parent vanish, with their replies; cycles have no root. One join for each level, only over the comments of the level before."""
-    nodes = comments.select("post_id", "comment_id", "parent_id", F.lpad(F.col("ordinal").cast("string"), 10, "0").alias("step")).dropDuplicates(["post_id", "comment_id"])
-    level = _cut(nodes.where("parent_id is null").select("post_id", "comment_id", "parent_id", F.lit(0).alias("depth"), F.col("step").alias("path")))
-    out, depth = level, 0
-    while depth < max_depth:
-        above = level.select("post_id", F.col("comment_id").alias("parent_id"), F.col("path").alias("above"))
-        depth += 1
-        level = _cut(nodes.join(above, ["post_id", "parent_id"]).select("post_id", "comment_id", "parent_id", F.lit(depth).alias("depth"), F.concat_ws(".", "above", "step").alias("path")))
-        if level.isEmpty():
+    ``path`` joins zero-padded ordinals, so its order is preorder. Comments with an unknown parent vanish, with
+    their replies; cycles have no root. Each round lets a comment look twice as far up, so a tree of depth d takes
+    log2(d) joins; no round beyond what the largest post can be deep."""
+    scratch = Scratch(comments.sparkSession, "walk")
+    own = comments.select("post_id", "comment_id", "parent_id", padded(F.col("ordinal")).alias("path")).dropDuplicates(["post_id", "comment_id"])
+    nodes = scratch.save(own.withColumn("up", F.col("parent_id")).withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1)), "nodes")
+    largest = nodes.groupBy("post_id").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    for _ in range(int(largest).bit_length() + 1):
+        if nodes.where("up is not null").isEmpty():
             break
-        out = out.unionByName(level)
-    return out
+        above = nodes.select("post_id", F.col("comment_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("path").alias("above"))
+        joined = nodes.join(above, ["post_id", "up"], "left").where("up is null or above is not null")
+        nodes = scratch.save(joined.select("post_id", "comment_id", "parent_id", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.concat_ws(".", "above", "path").alias("path")), "nodes")
+    return scratch.bind(nodes.where("up is null").select("post_id", "comment_id", "parent_id", "depth", "path"))
+
+
+def child_texts(tree: DataFrame, fields: DataFrame, image: str | None = None) -> DataFrame:
+    """post_id, comment_id, raw_text and first image of every comment of the tree: the maps that a walk collects."""
+    first = F.get(F.col(image), F.lit(0)) if image else F.lit(None).cast("string")
+    return tree.select("post_id", "comment_id").join(fields, ["post_id", "comment_id"]).select("post_id", "comment_id", F.coalesce("raw_text", F.lit("")).alias("raw_text"), first.alias("image"))
 
 
 def preorder(tree: DataFrame) -> DataFrame:
@@ -60,20 +67,17 @@ def descendants(tree: DataFrame) -> DataFrame:
 
 
 def nested_json(tree: DataFrame, fields: DataFrame) -> DataFrame:
-    """post_id, comment_tree: JSON text of the nested comments, folded from the deepest level up.
-
-    ``fields``: post_id, comment_id, ``body`` (JSON object text without replies)."""
-    rows = tree.join(fields, ["post_id", "comment_id"]).select("post_id", "comment_id", "parent_id", "depth", "path", "body")
-    deepest = rows.agg(F.coalesce(F.max("depth"), F.lit(0))).first()[0]
-    below = None
-    for depth in range(deepest, -1, -1):
-        level = rows.where(F.col("depth") == depth)
-        replies = F.lit("")
-        if below is not None:
-            level = level.join(below, ["post_id", "comment_id"], "left")
-            replies = F.coalesce("inner", F.lit(""))
-        text = F.concat(F.expr("substring(body, 1, length(body) - 1)"), F.lit(',"replies":['), replies, F.lit("]}"))
-        level = level.select("post_id", F.col("parent_id").alias("comment_id"), "path", text.alias("text"))
-        joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("path", "text"))), lambda x: x["text"]), ",")
-        below = level.groupBy("post_id", "comment_id").agg(joined.alias("inner"))
-    return below.select("post_id", F.concat(F.lit("["), "inner", F.lit("]")).alias("comment_tree"))
+    """post_id, comment_tree: JSON text of the nested comments.
+
+    ``fields``: post_id, comment_id, ``body`` (JSON object text without replies). In preorder, a comment opens its own
+    object and closes as many as its successor's depth tells, so one pass over a post's rows writes its tree."""
+    from pyspark.sql import Window
+
+    rows = tree.join(fields, ["post_id", "comment_id"]).select("post_id", "depth", "path", "body")
+    order = Window.partitionBy("post_id").orderBy("path")
+    following, before = F.coalesce(F.lead("depth").over(order), F.lit(0)), F.lag("depth").over(order)
+    comma = F.when(before >= F.col("depth"), ",").otherwise("")
+    opened = F.concat(F.expr("substring(body, 1, length(body) - 1)"), F.lit(',"replies":['))
+    piece = F.concat(comma, opened, F.repeat(F.lit("]}"), F.greatest(F.col("depth") - following + 1, F.lit(0))))
+    pieces = rows.select("post_id", "path", piece.alias("piece")).groupBy("post_id").agg(F.array_sort(F.collect_list(F.struct("path", "piece"))).alias("p"))
+    return pieces.select("post_id", F.concat(F.lit("["), F.array_join("p.piece", ""), F.lit("]")).alias("comment_tree"))

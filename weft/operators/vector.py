@@ -34,14 +34,42 @@ def vector_sum(vectors: Column, size: int) -> Column:
     return F.aggregate(vectors, F.array_repeat(F.lit(0.0), size), lambda s, v: F.zip_with(s, v, lambda x, y: x + y))
 
 
-def pooled(rows: DataFrame, key: str, order: str, vector: str, size: int, weight: str | None = None) -> DataFrame:
-    """Weighted sum (mean without weights) of the vectors of a key, as one array."""
-    w = F.col(weight) if weight else F.lit(1.0)
-    scaled = F.transform(as_double(F.col(vector)), lambda x: x * w)
-    items = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), scaled.alias("v"))))
-    total = F.transform(items, lambda x: x["v"])
-    grouped = rows.withColumn("__w", w).groupBy(key).agg(vector_sum(total, size).alias("sum"), F.count("*").alias("n"))
-    return grouped.select(key, (F.col("sum") if weight else F.transform("sum", lambda x: x / F.col("n"))).alias("pooled"))
+def pooled(rows: DataFrame, key: str, vector: str, weight: str | None = None) -> DataFrame:
+    """Weighted sum (mean without weights) of the vectors of a key, element by element: sums meet, not vectors."""
+    one = rows.select(key, (F.col(weight) if weight else F.lit(1.0)).alias("__w"), F.posexplode(as_double(F.col(vector))).alias("__i", "__x"))
+    total = F.sum(F.col("__x") * F.col("__w"))
+    parts = one.groupBy(key, "__i").agg((total if weight else total / F.count("*")).alias("__s"))
+    return parts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__s"))), lambda x: x["__s"]).alias("pooled"))
+
+
+def with_missing(nodes: DataFrame, vectors: DataFrame, key: str, size: int) -> DataFrame:
+    """All nodes with their vector; zeros where there is none."""
+    return nodes.join(vectors, key, "left").withColumn("vector", F.coalesce(F.col("vector"), F.array_repeat(F.lit(0.0), size)))
+
+
+def embed_texts(rows: DataFrame, text: str, encode, batch: int = 32, most_words: int = 128) -> DataFrame:
+    """``vector`` from ``encode``, a function of a list of texts that gives a row for each, called with ``batch`` texts
+    of at most ``most_words`` words at a time; a model is loaded once a task, in its closure."""
+    from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+
+    def run(frames):
+        import pandas as pd
+
+        for frame in frames:
+            short = [" ".join((t or "").split()[:most_words]) for t in frame[text]]
+            vectors = [list(map(float, v)) for lo in range(0, len(short), batch) for v in encode(short[lo : lo + batch])]
+            yield frame.assign(vector=pd.Series(vectors, index=frame.index, dtype=object))
+
+    return rows.mapInPandas(run, StructType([*rows.schema.fields, StructField("vector", ArrayType(DoubleType()))]))
+
+
+def training_batches(graphs: DataFrame, key: str, most: int = 600, size: int = 16, seed: int = 0) -> DataFrame:
+    """The first ``most`` graphs by key, dealt into batches of ``size`` in an order that follows from the seed."""
+    from pyspark.sql import Window
+
+    first = graphs.select(key).orderBy(key).limit(most)
+    shuffled = F.row_number().over(Window.orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))))
+    return first.withColumn("place", shuffled - 1).withColumn("batch", F.floor(F.col("place") / size))
 
 
 def topology_weights(comments: DataFrame) -> DataFrame:

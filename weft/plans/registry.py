@@ -2,31 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import functions as F
 
 from weft.functions import extract, text, urls
-from weft.operators import edges, hetero, merge, stats, tree, vector
+from weft.operators import edges, merge, stats, tree, vector
+from weft.plans.catalog import query
 from weft.plans.standins import COMMENTS_SQL, INTERACTION_SQL, RICH_SQL, TREE_SQL, comments, interactions, posts, rich_text, table
 from weft.streaming import windows
 
-QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
-FLAGSHIP = "r_reply_depth"
-
-
-def query(name: str, sql: str | None = None):
-    """Register a function of (spark, sf_dir) and its statement."""
-
-    def keep(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return keep
-
 
 # URL functions over pages. SHAPES deals each page one of the link shapes.
 SHAPES_SQL = """CASE page_id % 10 WHEN 0 THEN 'https://www.facebook.com/p' || page_id || '/posts/' || (page_id + 1000) || '?utm=1#c'
@@ -40,29 +23,38 @@ def _shapes(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.expr(SHAPES_SQL).alias("u"), "url", "html")
 
 
+ODD_SQL = f"""CASE page_id % 17 WHEN 10 THEN 'https://f.com/x?id=%zz' || page_id || '&v=1%2' WHEN 11 THEN 'HTTPS://F.com/x?v=a&id=' || page_id || '&v=b#f'
+  WHEN 12 THEN 'https://f.com/x?id=a+b&fbid=%C3%A9*~-_.' || page_id WHEN 13 THEN 'https://f.com/x?id=&story_fbid=x%20y&id=' || page_id || '&id=0'
+  WHEN 14 THEN '  https://f.com/p;q?%69d=' || page_id || '&x=1' WHEN 15 THEN 'not a url ' || page_id WHEN 16 THEN 'https://f.com/x?' ELSE {SHAPES_SQL} END"""
+
+
 @query(
     "u_normalize_url",
-    f"""WITH s AS (SELECT page_id, {SHAPES_SQL} AS u FROM pages), p AS (SELECT page_id, split_part(u, '#', 1) AS u FROM s),
+    f"""WITH s AS (SELECT page_id, regexp_replace(regexp_replace({ODD_SQL}, '[\\t\\r\\n]', '', 'g'), '^[\\x00-\\x20]+', '') AS u FROM pages), p AS (SELECT page_id, split_part(u, '#', 1) AS u FROM s),
 q AS (SELECT page_id, split_part(u, '?', 1) AS base, CASE WHEN contains(u, '?') THEN substring(u, instr(u, '?') + 1) ELSE '' END AS q FROM p),
-k AS (SELECT page_id, base, list_filter(string_split(q, '&'), lambda x: split_part(x, '=', 1) IN ('id', 'story_fbid', 'v', 'fbid') AND substring(x, length(split_part(x, '=', 1)) + 2) <> '') AS k FROM q)
-SELECT page_id, base || CASE WHEN len(k) > 0 THEN '?' || array_to_string(k, '&') ELSE '' END AS url FROM k""",
+g AS (SELECT page_id, base, list_transform(list_filter(string_split(q, '&'), lambda x: substring(x, length(split_part(x, '=', 1)) + 2) <> ''),
+  lambda x: {{'k': url_decode(replace(split_part(x, '=', 1), '+', ' ')), 'v': url_decode(replace(substring(x, length(split_part(x, '=', 1)) + 2), '+', ' '))}}) AS g FROM q),
+k AS (SELECT page_id, base, list_filter(g, lambda x: x.k IN ('id', 'story_fbid', 'v', 'fbid')) AS k FROM g),
+n AS (SELECT *, list_filter(list_transform(k, lambda x: x.k), lambda x, i: list_position(list_transform(k, lambda y: y.k), x) = i) AS names FROM k)
+SELECT page_id, lower(regexp_extract(base, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1)) || substring(base, length(regexp_extract(base, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1)) + 1)
+ || CASE WHEN len(k) > 0 THEN '?' || array_to_string(list_transform(flatten(list_transform(names, lambda m: list_filter(k, lambda x: x.k = m))), lambda x: x.k || '=' || replace(url_encode(x.v), '%20', '+')), '&') ELSE '' END AS url FROM n""",
 )
 def u_normalize_url(spark, sf_dir):
-    return _shapes(spark, sf_dir).select("page_id", urls.normalize_url(F.col("u")).alias("url"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.normalize_url(F.expr(ODD_SQL)).alias("url"))
 
 
-_EX = lambda p: f"nullif(regexp_extract(u, '{p}', 1), '')"
+found_sql = lambda p: f"nullif(regexp_extract(u, '{p}', 1), '')"
 
 
-@query("u_post_id", f"WITH s AS (SELECT page_id, {SHAPES_SQL} AS u FROM pages) SELECT page_id, coalesce({', '.join(_EX(p) for p in urls.POST_ID_PATTERNS)}) AS post_id FROM s")
+@query("u_post_id", f"WITH s AS (SELECT page_id, {SHAPES_SQL} AS u FROM pages) SELECT page_id, coalesce({', '.join(found_sql(p) for p in urls.POST_ID_PATTERNS)}) AS post_id FROM s")
 def u_post_id(spark, sf_dir):
     return _shapes(spark, sf_dir).select("page_id", urls.post_id(F.col("u")).alias("post_id"))
 
 
 @query(
     "u_user_id",
-    f"""WITH s AS (SELECT page_id, {SHAPES_SQL} AS u FROM pages), t AS (SELECT *, {_EX('^https?://(?:www[.])?facebook[.]com/([^/?#]+)')} AS slug FROM s)
-SELECT page_id, coalesce({_EX('[?&]id=([0-9]+)')}, CASE WHEN slug NOT IN ('pages', 'groups', 'events', 'marketplace', 'watch') THEN slug END) AS user_id FROM t""",
+    f"""WITH s AS (SELECT page_id, {SHAPES_SQL} AS u FROM pages), t AS (SELECT *, {found_sql('^https?://(?:www[.])?facebook[.]com/([^/?#]+)')} AS slug FROM s)
+SELECT page_id, coalesce({found_sql('[?&]id=([0-9]+)')}, CASE WHEN slug NOT IN ('pages', 'groups', 'events', 'marketplace', 'watch') THEN slug END) AS user_id FROM t""",
 )
 def u_user_id(spark, sf_dir):
     return _shapes(spark, sf_dir).select("page_id", urls.user_id(F.col("u")).alias("user_id"))
@@ -73,9 +65,9 @@ def u_user_id(spark, sf_dir):
     f"""WITH s AS (SELECT page_id, {SHAPES_SQL} AS u FROM pages)
 SELECT page_id, regexp_matches(u, 'facebook[.]com/(?:{urls.POST_URL})') AS is_post, split_part(u, '?', 1) AS bare,
  (contains(u, '/photo/') OR contains(u, 'fbid=')) AND NOT contains(u, '/posts/') AS is_photo,
- coalesce({_EX('^[a-zA-Z]+://[^/?#]*/+([^/?#]+)')}, '') AS slug, {_EX('^[a-zA-Z]+://[^/?#]*/([^/?#]+)/(?:posts|permalink|photos|videos)(?:[/?#]|$)')} AS author_slug,
+ coalesce({found_sql('^[a-zA-Z]+://[^/?#]*/+([^/?#]+)')}, '') AS slug, {found_sql('^[a-zA-Z]+://[^/?#]*/([^/?#]+)/(?:posts|permalink|photos|videos)(?:[/?#]|$)')} AS author_slug,
  string_split(rtrim(u, '/'), '/')[-1] AS last_segment,
- coalesce('https://www.facebook.com/permalink.php?story_fbid=' || {_EX('[?&]story_fbid=([^&#]+)')} || coalesce('&id=' || {_EX('[?&]id=([^&#]+)')}, ''), split_part(u, '?', 1)) AS permalink FROM s""",
+ coalesce('https://www.facebook.com/permalink.php?story_fbid=' || {found_sql('[?&]story_fbid=([^&#]+)')} || coalesce('&id=' || {found_sql('[?&]id=([^&#]+)')}, ''), split_part(u, '?', 1)) AS permalink FROM s""",
 )
 def u_link_kinds(spark, sf_dir):
     u = F.col("u")
@@ -95,19 +87,19 @@ def t_clean_text(spark, sf_dir):
     "t_tags_links",
     f"""WITH d AS (SELECT doc_id, {RICH_SQL} AS t FROM documents)
 SELECT doc_id, list_sort(list_distinct(regexp_extract_all(t, '#([\\p{{L}}\\p{{N}}_]+)', 1))) AS hashtags, list_sort(list_distinct(regexp_extract_all(t, '@([\\p{{L}}\\p{{N}}_.]+)', 1))) AS mentions,
- len(regexp_extract_all(t, '[\\x{{10000}}-\\x{{10FFFF}}\\x{{24C2}}-\\x{{D7FF}}\\x{{E000}}-\\x{{FFFF}}]+')) AS n_emojis, regexp_extract_all(t, '(https?://[^\\s]+|www[.][^\\s]+)', 1) AS links FROM d""",
+ regexp_extract_all(t, '[\\x{{10000}}-\\x{{10FFFF}}\\x{{24C2}}-\\x{{D7FF}}\\x{{E000}}-\\x{{FFFF}}]+') AS emojis, regexp_extract_all(t, '(https?://[^\\s]+|www[.][^\\s]+)', 1) AS links FROM d""",
 )
 def t_tags_links(spark, sf_dir):
     t = F.col("t")
-    return table(spark, sf_dir, "documents").select("doc_id", rich_text().alias("t")).select("doc_id", text.hashtags(t).alias("hashtags"), text.mentions(t).alias("mentions"), F.size(text.emojis(t)).cast("long").alias("n_emojis"), text.external_links(t).alias("links"))
+    return table(spark, sf_dir, "documents").select("doc_id", rich_text().alias("t")).select("doc_id", text.hashtags(t).alias("hashtags"), text.mentions(t).alias("mentions"), text.emojis(t).alias("emojis"), text.external_links(t).alias("links"))
 
 
-COUNTS_SQL = "CASE event_id % 6 WHEN 0 THEN event_id || 'K' WHEN 1 THEN (event_id // 1000) || ',' || (event_id % 1000) WHEN 2 THEN ' ' || (event_id % 50) || '.5m ' WHEN 3 THEN event_id || 'b' WHEN 4 THEN 'x' || event_id ELSE '' || event_id END"
+COUNTS_SQL = "CASE event_id % 6 WHEN 0 THEN event_id || 'K' WHEN 1 THEN (event_id // 1000) || ',' || (event_id % 1000) WHEN 2 THEN chr(9) || ' ' || (event_id % 50) || '.5m ' || chr(10) WHEN 3 THEN event_id || 'b' WHEN 4 THEN 'x' || event_id ELSE '' || event_id END"
 
 
 @query(
     "t_parse_count",
-    f"""WITH e AS (SELECT event_id, lower(regexp_replace(trim({COUNTS_SQL}), '[,.]', '', 'g')) AS t FROM events)
+    f"""WITH e AS (SELECT event_id, lower(regexp_replace(regexp_replace({COUNTS_SQL}, '^\\s+|\\s+$', '', 'g'), '[,.]', '', 'g')) AS t FROM events)
 SELECT event_id, coalesce(CASE WHEN regexp_matches(t, '^[0-9]+k$') THEN t[:-2]::BIGINT * 1000 WHEN regexp_matches(t, '^[0-9]+m$') THEN t[:-2]::BIGINT * 1000000
  WHEN regexp_matches(t, '^[0-9]+b$') THEN t[:-2]::BIGINT * 1000000000 WHEN regexp_matches(t, '^[0-9]+$') THEN t::BIGINT END, 0) AS n FROM e""",
 )
@@ -135,24 +127,31 @@ AGO_SQL = "CASE event_id % 8 WHEN 0 THEN '5 giây' WHEN 1 THEN 'x 12 phút' WHEN
 @query(
     "t_relative_time",
     f"""WITH e AS (SELECT event_id, ts, {AGO_SQL} AS t FROM events)
-SELECT event_id, epoch_us(ts) - regexp_extract(t, '([0-9]+)', 1)::BIGINT * CASE regexp_extract(t, '[0-9]+\\s*(\\S+)', 1) {' '.join(f"WHEN '{u}' THEN {s}" for u, s in text.UNITS.items())} END * 1000000 AS at_us FROM e WHERE t <> 'now'""",
+SELECT event_id, epoch_us(ts) - try_cast(regexp_extract(t, '([0-9]+)', 1) AS BIGINT) * CASE regexp_extract(t, '[0-9]+\\s*(\\S+)', 1) {' '.join(f"WHEN '{u}' THEN {s}" for u, s in text.UNITS.items())} END * 1000000 AS at_us FROM e""",
 )
 def t_relative_time(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.unix_micros(text.relative_time(F.expr(AGO_SQL), F.col("ts").cast("timestamp"))).alias("at_us")).where("at_us is not null")
+    return table(spark, sf_dir, "events").select("event_id", F.unix_micros(text.relative_time(F.expr(AGO_SQL), F.col("ts").cast("timestamp"))).alias("at_us"))
+
+
+PAGE_URL_SQL = "url || CASE page_id % 11 WHEN 0 THEN '/login/' WHEN 1 THEN '/checkpoint/' WHEN 2 THEN '/challenge/' WHEN 3 THEN '?checkpoint?next' ELSE '' END"
+PAGE_TITLE_SQL = "regexp_extract(html, '<title>([^<]*)</title>', 1) || CASE page_id % 13 WHEN 0 THEN ' Security Check' WHEN 1 THEN ' | Access Denied' ELSE '' END"
+PAGE_BODY_SQL = "html || CASE page_id % 7 WHEN 0 THEN ' Vui lòng thử lại sau' WHEN 1 THEN ' Temporarily Blocked' WHEN 2 THEN ' your account has been DISABLED' WHEN 3 THEN ' hoạt động đáng ngờ' ELSE '' END"
 
 
 @query(
     "t_page_class",
-    f"""WITH p AS (SELECT page_id, lower(url) AS u, lower(html) AS b FROM pages)
-SELECT CASE WHEN contains(u, '/checkpoint/') THEN 'checkpoint' WHEN contains(u, '/login/') OR contains(u, 'login?next') THEN 'login_wall' WHEN contains(u, '/challenge/') OR contains(u, '/security/') THEN 'captcha'
- WHEN contains(u, 'checkpoint?next') THEN 'none' {' '.join("WHEN " + " OR ".join("contains(b, '" + s.replace("'", "''") + "')" for s in signs) + f" THEN '{name}'" for name, signs in text.PAGE_CLASSES.items())} ELSE 'none' END AS class, count(*) AS n FROM p GROUP BY 1""",
+    f"""WITH p AS (SELECT page_id, lower({PAGE_URL_SQL}) AS u, lower({PAGE_TITLE_SQL}) AS t, lower({PAGE_BODY_SQL}) AS b FROM pages)
+SELECT page_id, CASE WHEN contains(u, '/checkpoint/') THEN 'checkpoint' WHEN contains(u, '/login/') OR contains(u, 'login?next') THEN 'login_wall' WHEN contains(u, '/challenge/') OR contains(u, '/security/') THEN 'captcha'
+ WHEN contains(u, 'checkpoint?next') THEN 'none' {' '.join("WHEN " + " OR ".join(f"contains({c}, '" + s.replace("'", "''") + "')" for s in signs for c in "bt") + f" THEN '{name}'" for name, signs in text.PAGE_CLASSES.items())} ELSE 'none' END AS class FROM p""",
 )
 def t_page_class(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    return pages.groupBy(text.page_class(F.col("url"), F.lit(""), F.col("html")).alias("class")).agg(F.count("*").alias("n"))
+    return table(spark, sf_dir, "pages").select("page_id", text.page_class(F.expr(PAGE_URL_SQL), F.expr(PAGE_TITLE_SQL), F.expr(PAGE_BODY_SQL)).alias("class"))
 
 
-@query("e_uuid5")
+UUID_SQL = "substr(h, 1, 12) || '5' || substr(h, 14, 3) || printf('%02x', (('0x' || substr(h, 17, 2))::INT & 63) | 128) || substr(h, 19, 14)"
+
+
+@query("e_uuid5", f"WITH e AS (SELECT event_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(user_id || '|' || (event_id % 500) || '|' || {INTERACTION_SQL})) AS h FROM events) SELECT event_id, {UUID_SQL} AS edge_id FROM e")
 def e_uuid5(spark, sf_dir):
     key = F.concat_ws("|", "user_id", "post_id", "interaction_type")
     return interactions(spark, sf_dir).select("event_id", text.uuid5_hex(key).alias("edge_id"))
@@ -184,12 +183,24 @@ def r_descendants(spark, sf_dir):
     return tree.descendants(tree.walk(comments(spark, sf_dir)))
 
 
-@query("r_json_tree")
+def nested_sql(body: str) -> str:
+    """CTEs behind ``tree`` that write its comments as nested JSON; ``body`` is the text of one comment."""
+    return f""", spread AS (SELECT post_id, path, depth, {body} AS body, coalesce(lead(depth) OVER (PARTITION BY post_id ORDER BY path), 0) AS nxt, lag(depth) OVER (PARTITION BY post_id ORDER BY path) AS prv FROM tree),
+ nested AS (SELECT post_id, '[' || string_agg(CASE WHEN prv >= depth THEN ',' ELSE '' END || body[:-2] || ',"replies":[' || repeat(']}}', greatest(depth - nxt + 1, 0)), '' ORDER BY path) || ']' AS comment_tree FROM spread GROUP BY 1)"""
+
+
+@query("r_json_tree", TREE_SQL + nested_sql("to_json({'comment_id': comment_id, 'author_id': author_id})::VARCHAR") + " SELECT post_id, comment_tree FROM nested")
 def r_json_tree(spark, sf_dir):
     rows = comments(spark, sf_dir)
     return tree.nested_json(tree.walk(rows), rows.select("post_id", "comment_id", F.to_json(F.struct("comment_id", "author_id")).alias("body")))
 
 
+@query("r_maps", TREE_SQL + " SELECT t.post_id, t.comment_id, coalesce(c.raw_text, '') AS raw_text, CASE WHEN c.ordinal % 2 = 0 THEN 'i' || c.ordinal END AS image FROM tree t JOIN comments c USING (post_id, comment_id)")
+def r_maps(spark, sf_dir):
+    rows = comments(spark, sf_dir).withColumn("images", F.when(F.col("ordinal") % 2 == 0, F.array(F.concat(F.lit("i"), "ordinal"), F.lit("other"))).otherwise(F.array()))
+    return tree.child_texts(tree.walk(rows), rows.select("post_id", "comment_id", "raw_text", "images"), "images")
+
+
 # Edges.
 _WEIGHT_SQL = f"CASE {INTERACTION_SQL} WHEN 'author' THEN 10.0 WHEN 'share' THEN 5.0 WHEN 'comment' THEN 3.0 WHEN 'angry' THEN 1.5 ELSE 1.0 END::DOUBLE"
 
@@ -235,11 +246,11 @@ def e_comment_reply(spark, sf_dir):
 
 @query(
     "e_image",
-    """WITH p AS (SELECT page_id::VARCHAR AS source_id, regexp_extract_all(html, 'href="([^"]*)"', 1)[:3] AS u FROM pages), x AS (SELECT source_id, unnest(u) AS u FROM p)
+    """WITH p AS (SELECT page_id::VARCHAR AS source_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS u FROM pages), x AS (SELECT source_id, unnest(u) AS u FROM p)
 SELECT source_id, 'img_' || md5(source_id || '|' || 'm/' || u)[:8] AS image_id, 'post' AS source_type, unnest(['contains', 'contained_by']) AS direction FROM x""",
 )
 def e_image(spark, sf_dir):
-    links = F.slice(extract.hrefs(F.col("html")), F.lit(1), F.lit(3))
+    links = extract.hrefs(F.col("html"))
     content = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("source_id"), F.lit("post").alias("source_type"), links.alias("image_urls"), F.transform(links, lambda x: F.concat(F.lit("m/"), x)).alias("local_images"))
     return edges.image_edges(edges.image_nodes(content))
 
@@ -301,71 +312,6 @@ def e_time_decay(spark, sf_dir):
     return edges.time_decay(rows, 3600.0).select(F.col("user").alias("event_id"), "weight")
 
 
-@query("e_training_json")
-def e_training_json(spark, sf_dir):
-    rows = comments(spark, sf_dir)
-    replies = edges.with_reverse(edges.reply_edges(rows)).groupBy("post_id").agg(F.sort_array(F.collect_list(F.struct("source", "target", "relation", "timestamp"))).alias("edges_user_user"))
-    trees = tree.nested_json(tree.walk(rows), rows.select("post_id", "comment_id", F.to_json(F.struct("comment_id", "author_id", "raw_text")).alias("body")))
-    both = trees.join(replies, "post_id", "left")
-    sample = F.concat(F.lit("g_"), F.substring(F.md5("post_id"), 1, 8))
-    return both.select("post_id", F.to_json(F.struct(sample.alias("sample_id"), "post_id", "comment_tree", "edges_user_user"), {"ignoreNullFields": "false"}).alias("document"))
-
-
-# Dense numbers.
-def _ids(spark, sf_dir):
-    rows = comments(spark, sf_dir)
-    posts_ = rows.where("ordinal = 0").select("post_id", "author_id")
-    walked = tree.walk(rows).join(rows.select("post_id", "comment_id", "author_id"), ["post_id", "comment_id"])
-    user_user = edges.reply_edges(rows)
-    nothing = rows.limit(0)
-    ids = hetero.node_ids(
-        hetero.registrations(
-            posts_, walked, nothing.select("post_id", F.lit("").alias("hashtag"), "ordinal"), nothing.select("post_id", F.lit("").alias("image_id"), "ordinal"), user_user,
-            posts_.select("post_id", F.col("author_id").alias("user_id"), F.lit(0).alias("ordinal")), rows.select("post_id", F.col("author_id").alias("user_id"), "comment_id", "ordinal"),
-        )
-    )
-    return rows, user_user, ids
-
-
-_IDS_SQL = (
-    TREE_SQL
-    + """, reg AS (SELECT post_id, 'comment' AS kind, comment_id AS node, path || 'a' AS o FROM tree UNION ALL SELECT post_id, 'user', author_id, path || 'b' FROM tree
- UNION ALL SELECT post_id, 'user', author_id, '' FROM comments WHERE ordinal = 0 UNION ALL SELECT DISTINCT post_id, 'post', post_id, '' FROM comments WHERE ordinal = 0),
- ids AS (SELECT post_id, kind, node, row_number() OVER (PARTITION BY post_id, kind ORDER BY min(o)) - 1 AS idx FROM reg GROUP BY 1, 2, 3)"""
-)
-
-
-@query("h_node_ids", _IDS_SQL + " SELECT * FROM ids")
-def h_node_ids(spark, sf_dir):
-    return _ids(spark, sf_dir)[2].withColumn("idx", F.col("idx").cast("long"))
-
-
-@query("h_num_nodes", _IDS_SQL + " SELECT post_id, kind, count(*) AS num_nodes FROM ids GROUP BY 1, 2")
-def h_num_nodes(spark, sf_dir):
-    return hetero.num_nodes(_ids(spark, sf_dir)[2])
-
-
-@query(
-    "h_edge_index",
-    _IDS_SQL
-    + """, e AS (SELECT post_id, 'comment' AS sk, comment_id AS s, 'reply_to' AS rel, CASE WHEN parent_id IS NULL THEN 'post' ELSE 'comment' END AS dk, coalesce(parent_id, post_id) AS d FROM comments
- UNION ALL SELECT post_id, 'comment', parent_id, 'reply_to_rev', 'comment', comment_id FROM comments WHERE parent_id IS NOT NULL)
-SELECT e.post_id, sk AS src_kind, rel AS relation, dk AS dst_kind, a.idx AS src_idx, b.idx AS dst_idx FROM e JOIN ids a ON a.post_id = e.post_id AND a.kind = sk AND a.node = s JOIN ids b ON b.post_id = e.post_id AND b.kind = dk AND b.node = d""",
-)
-def h_edge_index(spark, sf_dir):
-    rows, _, ids = _ids(spark, sf_dir)
-    links = edges.comment_reply_edges(rows).select("post_id", F.lit("comment").alias("src_kind"), F.col("comment_id").alias("src"), F.col("direction").alias("relation"), F.col("target_type").alias("dst_kind"), F.col("target_id").alias("dst"))
-    out = hetero.edge_index(ids, links)
-    return out.withColumn("src_idx", F.col("src_idx").cast("long")).withColumn("dst_idx", F.col("dst_idx").cast("long"))
-
-
-@query("h_engagement", "SELECT page_id, length(html) % 7 AS e_like, 0::BIGINT AS e_love, page_id % 3 AS e_total FROM pages")
-def h_engagement(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("post_id"), (F.length("html") % 7).alias("like"), F.lit(None).cast("long").alias("love"), *[F.lit(1).alias(c) for c in hetero.ENGAGEMENT[2:-1]], (F.col("page_id") % 3).alias("total_reactions"))
-    e = F.col("engagement")
-    return hetero.engagement_vector(rows).select(F.col("post_id").alias("page_id"), e[0].cast("long").alias("e_like"), e[1].cast("long").alias("e_love"), e[9].cast("long").alias("e_total"))
-
-
 # Page sources.
 @query("m_links", """WITH h AS (SELECT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages) SELECT href, count(*) AS n FROM h GROUP BY 1""")
 def m_links(spark, sf_dir):
@@ -392,19 +338,20 @@ def m_html_text(spark, sf_dir):
 
 
 # Merges.
-@query("s_upsert_last", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE 'old' END AS state, c_acctbal + CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 0 END AS balance FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
+@query("s_upsert_last", "SELECT c_custkey, CASE WHEN c_nationkey < 12 THEN 'new' ELSE 'old' END AS state, c_acctbal + CASE WHEN c_nationkey < 12 THEN 2 ELSE 0 END AS balance FROM customer")
 def s_upsert_last(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    old = c.where("c_custkey % 2 = 0").select("c_custkey", F.lit("old").alias("state"), F.col("c_acctbal").alias("balance"), F.lit(0).alias("seq"))
-    new = c.where("c_custkey % 3 = 0").select("c_custkey", F.lit("new").alias("state"), F.explode(F.array(F.lit(1), F.lit(2))).alias("seq"), "c_acctbal").select("c_custkey", "state", (F.col("c_acctbal") + F.col("seq")).alias("balance"), "seq")
+    old = c.select("c_custkey", F.lit("old").alias("state"), F.col("c_acctbal").alias("balance"), F.lit(0).alias("seq"))
+    changes = F.when(F.col("c_nationkey") < 12, F.array(F.lit(1), F.lit(2))).otherwise(F.expr("cast(array() as array<int>)"))
+    new = c.select("c_custkey", F.lit("new").alias("state"), F.explode(changes).alias("seq"), "c_acctbal").select("c_custkey", "state", (F.col("c_acctbal") + F.col("seq")).alias("balance"), "seq")
     return merge.upsert_last(old, new, ["c_custkey"], "seq").drop("seq")
 
 
-@query("s_merge_first", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'main' WHEN c_custkey % 3 = 0 THEN 'w0' ELSE 'w1' END AS origin, c_name FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0 OR c_custkey % 5 = 0")
+@query("s_merge_first", "SELECT c_custkey, CASE WHEN c_acctbal >= 5000 THEN 'main' WHEN c_nationkey < 15 THEN 'w0' ELSE 'w1' END AS origin, c_name FROM customer")
 def s_merge_first(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    part = lambda k, name: c.where(f"c_custkey % {k} = 0").select("c_custkey", F.lit(name).alias("origin"), "c_name")
-    return merge.merge_first([part(2, "main"), part(3, "w0"), part(5, "w1")], ["c_custkey"])
+    part = lambda rows, name: rows.select("c_custkey", F.lit(name).alias("origin"), "c_name")
+    return merge.merge_first([part(c.where("c_acctbal >= 5000"), "main"), part(c.where("c_nationkey < 15"), "w0"), part(c, "w1")], ["c_custkey"])
 
 
 @query("f_anti_done", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -412,11 +359,11 @@ def f_anti_done(spark, sf_dir):
     return merge.not_done(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query("f_append_new", "SELECT c_custkey AS k, 'old' AS origin FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT k, 'new' FROM (SELECT unnest([c_custkey, c_custkey]) AS k FROM customer WHERE c_custkey % 6 = 0) WHERE k % 4 <> 0")
+@query("f_append_new", "SELECT c_custkey AS k, 'old' AS origin FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT unnest([c_custkey, c_custkey]), 'new' FROM customer WHERE NOT coalesce(c_acctbal >= 0, false)")
 def f_append_new(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    new = c.where("c_custkey % 6 = 0").select(F.explode(F.array("c_custkey", "c_custkey")).alias("k"), F.lit("new").alias("origin"))
-    return merge.append_new(c.where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("k"), F.lit("old").alias("origin")), new, "k")
+    new = c.select(F.explode(F.array("c_custkey", "c_custkey")).alias("k"), F.lit("new").alias("origin"))
+    return merge.append_new(c.where("c_acctbal >= 0").select(F.col("c_custkey").alias("k"), F.lit("old").alias("origin")), new, "k")
 
 
 @query("f_pending", "WITH p AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN NULL ELSE url END AS url, CASE WHEN page_id % 2 = 0 THEN NULL ELSE 'q' || (page_id % 5) END AS query FROM pages) SELECT page_id FROM p WHERE url IS NOT NULL AND query IS DISTINCT FROM 'q1'")
@@ -491,11 +438,14 @@ def a_rolling60(spark, sf_dir):
 
 @query("a_ewma", "WITH e AS (SELECT user_id, list(value ORDER BY event_id) AS v FROM events GROUP BY 1) SELECT user_id, round(list_reduce(v, lambda a, x: a * 0.8::DOUBLE + x * 0.2::DOUBLE, 0.0::DOUBLE), 6) AS ewma, len(v) AS n FROM e")
 def a_ewma(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "value")
-    return rows.groupBy("user_id").agg(F.round(F.aggregate(F.sort_array(F.collect_list(F.struct("event_id", "value"))), F.lit(0.0), lambda a, x: a * 0.8 + x["value"] * 0.2), 6).alias("ewma"), F.count("*").alias("n"))
+    return stats.ewma(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), "user_id", "event_id", "value")
 
 
-@query("a_backoff")
+@query(
+    "a_backoff",
+    """WITH m AS (SELECT user_id, list_prepend(0, list(CASE event_type WHEN 'error' THEN 1 WHEN 'signup' THEN 3 ELSE -1 END ORDER BY event_id)) AS m FROM events GROUP BY 1), l AS (SELECT user_id, list_reduce(m, lambda a, x: greatest(0, a + x))::INT AS level FROM m)
+SELECT user_id, level, CASE WHEN level > 0 THEN least(300.0::DOUBLE, 4.0::DOUBLE * pow(2.0, level)) END AS delay FROM l""",
+)
 def a_backoff(spark, sf_dir):
     kind = F.expr("CASE event_type WHEN 'error' THEN 'throttle' WHEN 'signup' THEN 'ban' ELSE 'success' END")
     return stats.backoff(table(spark, sf_dir, "events").select("user_id", "event_id", kind.alias("kind")), "user_id", "event_id", "kind")
@@ -529,7 +479,7 @@ def v_log1p(spark, sf_dir):
 
 @query("v_meanpool", "WITH x AS (SELECT label, vec_id, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings), m AS (SELECT label, d, avg(v) AS v FROM x GROUP BY 1, 2) SELECT label, list(round(v, 5) ORDER BY d) AS pooled FROM m GROUP BY 1")
 def v_meanpool(spark, sf_dir):
-    out = vector.pooled(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 64)
+    out = vector.pooled(table(spark, sf_dir, "embeddings"), "label", "embedding")
     return out.select("label", F.transform("pooled", lambda x: F.round(x, 5)).alias("pooled"))
 
 

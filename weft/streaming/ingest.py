@@ -34,6 +34,11 @@ def ingest(stream: DataFrame, done: DoneSet, sink: Callable[[DataFrame, int], No
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def drain(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """What was pushed since the last run, buffered by the source, into a folder; each row once, however often a batch runs."""
+    return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(folder)
+
+
 def once(events: DataFrame, key: str, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
     """First event of each key within the watermark."""
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])

@@ -209,6 +209,28 @@ FROM sizes z LEFT JOIN reach r ON r.a = z.doc_id GROUP BY z.doc_id, n
 """
 
 
+#: Windows of 100 bytes as 200 hex digits; the first place of each keeps it, runs of the others are cut out.
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id, coalesce(text, '')) AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, s, h[2 * s + 1 : 2 * s + 200] AS w FROM d, unnest(range(0, length(h) // 2 - 99)) u(s)),
+f AS (SELECT rid, s, row_number() OVER (PARTITION BY w ORDER BY rid, s) AS k FROM w),
+r AS (SELECT rid, s, CASE WHEN s - lag(s) OVER (PARTITION BY rid ORDER BY s) <= 100 THEN 0 ELSE 1 END AS fresh FROM f WHERE k > 1),
+g AS (SELECT rid, s, sum(fresh) OVER (PARTITION BY rid ORDER BY s) AS g FROM r),
+spans AS (SELECT rid, min(s) AS a, max(s) + 100 AS b FROM g GROUP BY rid, g),
+gaps AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM spans),
+cut AS (SELECT d.rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(h[2 * before + 1 : 2 * a], '' ORDER BY a) || any_value(h)[2 * max(b) + 1 :] AS kept FROM gaps JOIN d USING (rid) GROUP BY d.rid)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN cut USING (rid)
+"""
+
+#: Five hex digits of a digest are four of its base32 digits.
+OP9_SQL = r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS h FROM pages),
+b AS (SELECT *, array_to_string(list_transform(range(8), lambda j: array_to_string(list_transform([32768, 1024, 32, 1], lambda m: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(('0x' || h[5 * j + 1 : 5 * j + 5])::BIGINT // m) % 32 + 1]), '')), '') AS payload_digest FROM p),
+l AS (SELECT h, max(page_id) AS last_id FROM p GROUP BY h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS DISTINCT FROM last_id AND last_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id IS DISTINCT FROM last_id THEN last_id END AS refers_to FROM b JOIN l USING (h)
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
@@ -226,4 +248,6 @@ ORACLES = {
     "op8_personal_data": OP8_SQL,
     "op10_near_duplicates": OP10_SQL,
     "op4_chat_format": OP4_SQL,
+    "op6_repeated_bytes": OP6_SQL,
+    "op9_warc_index": OP9_SQL,
 }

@@ -2,14 +2,18 @@
 
 1. A document is the set of hashes of its word shingles; its sketch is the ``SKETCH`` smallest.
    Documents with one set are one from here on, under the smallest id.
-2. Inverted lists of retained values. Two sets of similarity 0.75 share far more than
-   ``SHARED`` of a sketch (below once in 10^7 pairs), so they agree on one of the rarest
-   ``1 - SHARED`` values of both sketches; only those are listed, so passages that many
-   documents quote make no lists. Each list ties its members to the smallest: no pairs.
-3. Connected groups of such ties are compared in blocks of bounded size: the estimate from the
-   union's sketch drops what lies over five standard errors below the threshold, what it
-   leaves is compared with full sets taken from the whole texts. Blocks give back
-   one tie a document, never pairs. Large groups become many block pairs.
+2. Inverted lists of retained values. A list's key is a run of ``RUN`` values that stand side by side
+   among the ``LISTED`` smallest: two sets of similarity 0.75 agree on each value of their union with that
+   chance, so they miss every common run once in 10^9, while sets that share a passage or two rarely have one.
+   Sets of up to ``SMALL_SET`` shingles are listed by runs of two as well; for sets of at most ``LISTED``
+   shingles a common run is certain.
+3. Candidates are pairs from the lists. First every member meets its list's centre, the member with the
+   longest lists. The estimate from the union's sketch drops pairs that can't reach the threshold (``LEAST``
+   of its values in common: below once in 10^8 pairs at the threshold); the others are compared with full sets
+   taken from the whole texts. What those links join needs no more pairs.
+4. Lists whose members are still in several components give the pairs across them: one by one in lists of
+   up to ``SMALL_LIST`` members, longer ones in blocks of bounded size in which members of the largest
+   component don't meet each other. Blocks give back one tie a document, never pairs.
 
 Edge cases. A null or empty text has no shingles, links with nothing and is kept; so does and is
 a row without an id. Rows of one doc_id are one node. An empty table gives an empty result.
@@ -26,45 +30,47 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import caches
+from weft.llm import caches, words
 from weft.llm.graph import components
 from weft.llm.scratch import Scratch
 
-SHINGLE, SKETCH, SHARED, BLOCK = 5, 64, 0.47, 512
+SHINGLE, SKETCH, LISTED, RUN, SMALL_SET = 5, 96, 72, 3, 8
+#: Of so many values of a union's whole sketch, two sets of similarity 0.75 have fewer than ``LEAST`` in common
+#: once in 10^8 pairs; shorter sketches are whole sets, of which three quarters have to be.
+LEAST = 45
+#: Members that meet a centre in one go; members of lists that give pairs; documents and shingles of a block.
+CENTRE_ROWS, SMALL_LIST, BLOCK, BLOCK_SHINGLES = 256, 32, 512, 1 << 20
 #: 100 * intersection >= PERCENT * union links two sets.
 PERCENT = 75
-CACHE_WORDS = 500_000
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
+def _shingle_hashes(one: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of ``size`` neighbouring words at every place."""
+    n = len(one) - size + 1
+    with np.errstate(over="ignore"):
+        h = np.full(n, size, np.uint64)
+        for k in range(size):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + one[k : k + n]
+    return words.mixed(h)
 
 
-_HASHES = _Words()
-caches.register("neardup", lambda: _HASHES.clear())
+def sets_of(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of the 5-word shingles of each text; of the whole text if it has fewer words."""
+    raw = [(t or "").encode().lower() for t in texts]  # bytes: exactly A-Z, exactly the six blanks
+    for lo, hi in words.slices(list(map(len, raw)), 2 * words.CHUNK_BYTES):
+        flat, counts = words.hash_words(raw[lo:hi])
+        whole = _shingle_hashes(flat, SHINGLE) if len(flat) >= SHINGLE else flat[:0]
+        at = 0
+        for n in counts.tolist():
+            if n >= SHINGLE:
+                yield np.unique(whole[at : at + n - SHINGLE + 1])
+            else:
+                yield _shingle_hashes(flat[at : at + n], n) if n else flat[:0]
+            at += n
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of the 5-word shingles; of the whole text if it has fewer words."""
-    words = (text or "").encode().lower().split()  # bytes: exactly A-Z, exactly the six blanks
-    if not words:
-        return np.zeros(0, np.uint64)
-    one = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    size = min(SHINGLE, len(words))
-    n = len(words) - size + 1
-    with np.errstate(over="ignore"):
-        h = np.full(n, size, np.uint64)
-        for k in range(size):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + one[k : k + n]
-        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
-            h ^= h >> np.uint64(shift)
-            h *= np.uint64(factor)
-        h ^= h >> np.uint64(33)
-    return np.unique(h)
+    return next(sets_of([text]))
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -75,8 +81,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         caches.use("neardup")
         for batch in batches:
             sizes, digests, own = [], [], []
-            for text in batch.column(1):
-                s = shingles(text.as_py())
+            for s in sets_of(batch.column(1).to_pylist()):
                 sizes.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 own.append(s[:SKETCH].tobytes())
@@ -85,24 +90,82 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.mapInArrow(make, "doc_id long, n_shingles long, digest binary, sketch binary")
 
 
-def candidate_ties(reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b): members of an inverted list and its smallest member, from (rep, sketch)."""
+def run_keys(sketch: np.ndarray) -> np.ndarray:
+    """Keys of the runs of a sketch's smallest values."""
+    v, out = sketch[:LISTED], []
+    with np.errstate(over="ignore"):
+        for size in (RUN, 2) if len(sketch) <= SMALL_SET else (RUN,):
+            n = len(v) - size + 1
+            if n > 0:
+                h = np.full(n, size, np.uint64)
+                for k in range(size):
+                    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + v[k : k + n]
+                out.append((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
+    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+
+
+def inverted_lists(reps: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(key, rep, n) of lists of n > 1 members and (key, centre), from (rep, sketch)."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [np.frombuffer(s.as_py(), np.int64) for s in batch.column(1)]
-            sizes = np.array([len(v) for v in values])
-            if sizes.sum():
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(values)), pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes).astype(np.int32))], ["v", "rep", "size"])
+            keys = [run_keys(np.frombuffer(s.as_py(), np.uint64)) for s in batch.column(1)]
+            if sum(map(len, keys)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(batch.column(0).to_numpy(), list(map(len, keys))))], ["key", "rep"])
+
+    postings = reps.select("rep", "sketch").mapInArrow(explode, "key long, rep long")
+    sizes = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    listed = scratch.save(postings.join(sizes, "key"), "listed")
+    weight = listed.groupBy("rep").agg(F.sum("n").alias("weight"))
+    centres = listed.select("key", "rep").join(weight, "rep").groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("centre"))
+    return listed, scratch.save(centres, "centres")
+
+
+def may_reach(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the union's sketch leaves the threshold possible; sketches under ``SKETCH`` values are whole sets."""
+    whole, both = max(len(a), len(b)) < SKETCH, np.union1d(a, b)
+    if whole:
+        return 100 * (len(a) + len(b) - len(both)) >= PERCENT * len(both)
+    both = both[:SKETCH]
+    return int((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).sum()) >= LEAST
+
 
-    postings = reps.select("rep", "sketch").mapInArrow(explode, "v long, rep long, size int")
-    spread = postings.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    own = postings.join(spread, "v").groupBy("rep", "size").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"))
-    # values of one document only are the rarest: they fill places of the prefix without a list
-    left = F.col("size") - F.floor(F.col("size") * SHARED) + 1 - (F.col("size") - F.size("values"))
-    listed = scratch.save(own.where(left > 0).select("rep", F.explode(F.slice("values", F.lit(1), left.cast("int"))).alias("x")).select("rep", "x.v"), "listed")
-    smallest = listed.groupBy("v").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1").select("v", "b")
-    return listed.join(smallest, "v").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+def reaches(a: np.ndarray, b: np.ndarray) -> bool:
+    """Exact comparison of full sets."""
+    if not len(a) or not len(b):
+        return False
+    at = np.searchsorted(a, b)
+    n = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+    return 100 * n >= PERCENT * (len(a) + len(b) - n)
+
+
+def compare_pairs(pairs: DataFrame, payloads: DataFrame, read: Callable, judge: Callable) -> DataFrame:
+    """The pairs (a, b) that ``judge`` accepts; ``payloads`` is (rep, data).
+
+    Each b stands in front of at most about ``CENTRE_ROWS`` of its partners, which stream past it."""
+    crowded = pairs.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > CENTRE_ROWS).select("b", F.ceil(F.col("n") / CENTRE_ROWS).alias("salts"))
+    dealt = pairs.join(crowded, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+    front = dealt.select(F.col("b").alias("rep"), "b", "salt", F.lit(0).alias("role")).distinct()
+    rows = front.unionByName(dealt.select(F.col("a").alias("rep"), "b", "salt", F.lit(1).alias("role"))).join(payloads, "rep")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.use("neardup")
+        key, fronts = None, []
+        for batch in batches:
+            found = []
+            for b, salt, role, rep, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)):
+                if (b, salt) != key:
+                    key, fronts = (b, salt), []
+                own = read(data.as_py())
+                if not role:
+                    fronts.append(own)
+                elif any(judge(own, f) for f in fronts):
+                    found.append((rep, b))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    ordered = rows.select("b", "salt", "role", "rep", "data").repartition("b", "salt").sortWithinPartitions("b", "salt", "role")
+    return ordered.mapInArrow(work, "a long, b long")
 
 
 class _Union:
@@ -150,14 +213,10 @@ def estimated(sets: list[np.ndarray], allowed: np.ndarray) -> _Union:
     """Ties of sketches whose union's sketch doesn't rule the threshold out."""
     shared, union = overlaps(sets), _Union(len(sets))
     sizes = np.array([len(s) for s in sets])
-    least = np.floor(sizes * SHARED)
-    maybe = allowed & (shared >= np.maximum(least[:, None], least[None])) & (shared > 0)
-    for a, b in zip(*np.nonzero(np.triu(maybe, 1))):
-        if union.find(a) == union.find(b):
-            continue
-        both = np.union1d(sets[a], sets[b])[:SKETCH]
-        seen = np.isin(both, sets[a], assume_unique=True) & np.isin(both, sets[b], assume_unique=True)
-        if seen.mean() >= PERCENT / 100 - 5 * (0.1875 / len(both)) ** 0.5:
+    # what a union's whole sketch has in common, both sketches have
+    least = np.where(np.maximum(sizes[:, None], sizes[None]) < SKETCH, np.ceil(PERCENT / 100 * np.maximum(sizes[:, None], sizes[None])), LEAST)
+    for a, b in zip(*np.nonzero(np.triu(allowed & (shared >= least) & (shared > 0), 1))):
+        if union.find(a) != union.find(b) and may_reach(sets[a], sets[b]):
             union.tie(a, b)
     return union
 
@@ -172,64 +231,112 @@ def verified(sets: list[np.ndarray], allowed: np.ndarray) -> _Union:
     return union
 
 
-def compare_blocks(members: DataFrame, payload: str, read: Callable, judge: Callable) -> DataFrame:
-    """(a, b): ties that ``judge`` finds inside each group of ``members`` (root, rep, payload).
-
-    A group larger than ``BLOCK`` is dealt into hashed blocks; each pair of blocks is a unit of
-    work of bounded size, wherever its rows lie."""
-    sizes = members.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    units = dealt.select("root", "rep", "block", payload, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    units = units.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "block", payload)
-
-    def unit(rows: list[tuple]) -> tuple[list, list]:
-        """Rows of a unit: block, rep, payload; the later block may be the same as the first."""
-        reps = [r[1] for r in rows]
-        order = sorted(range(len(rows)), key=lambda k: reps[k])
-        rows, blocks = [rows[k] for k in order], np.array([rows[k][0] for k in order])
-        one = blocks.min() == blocks.max()
-        allowed = np.ones((len(rows), len(rows)), bool) if one else blocks[:, None] != blocks[None]
-        union = judge([read(r[2]) for r in rows], allowed)
+def compare_blocks(members: DataFrame, payload: str, read: Callable, judge: Callable, weight: int) -> DataFrame:
+    """(a, b): ties that ``judge`` finds inside each group of ``members`` (root, rep, part, size, payload)
+    between members of different ``part``.
+
+    A group is dealt into blocks of about ``BLOCK`` members, and ``BLOCK_SHINGLES`` shingles if ``weight`` is 1 rather
+    than 0, those of its largest part apart from the others; each pair of blocks is a unit of work of bounded size, wherever its
+    rows lie, and pairs of blocks of the largest part are none."""
+    parts = members.groupBy("root", "part").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+    blocks = lambda n, total: F.ceil(F.greatest(n / BLOCK, weight * total / BLOCK_SHINGLES)).cast("int")
+    largest = parts.groupBy("root").agg(F.max_by(F.struct("part", "n", "total"), F.struct("n", "part")).alias("big"), F.sum("n").alias("n_all"), F.sum("total").alias("total_all"))
+    rest = largest.where("n_all > big.n").select(
+        "root",
+        F.col("big.part").alias("big_part"),
+        blocks(F.col("big.n"), F.col("big.total")).alias("big_blocks"),
+        blocks(F.col("n_all") - F.col("big.n"), F.col("total_all") - F.col("big.total")).alias("rest_blocks"),
+    )
+    chance = F.xxhash64("rep")
+    big = F.col("part") == F.col("big_part")
+    block = F.when(big, F.pmod(chance, F.col("big_blocks"))).otherwise(F.col("big_blocks") + F.pmod(chance, F.col("rest_blocks"))).cast("int")
+    dealt = members.join(rest, "root").withColumn("block", block)
+    others = F.sequence(F.when(big, F.col("big_blocks")).otherwise(F.lit(0)), F.col("big_blocks") + F.col("rest_blocks") - 1)
+    units = dealt.select("root", "rep", "part", "block", payload, F.explode(others).alias("other"))
+    units = units.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "part", "block", payload)
+
+    def unit(rows: list[tuple], same: bool) -> tuple[list, list]:
+        """Rows of a unit: block, rep, part, payload; ties of one block are found where it meets itself."""
+        rows = sorted(rows, key=lambda r: r[1])
+        blocks, part = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
+        allowed = part[:, None] != part[None]
+        if not same:
+            allowed &= blocks[:, None] != blocks[None]
+        union = judge([read(r[3]) for r in rows], allowed)
         ties = [(rows[k][1], rows[union.find(k)][1]) for k in range(len(rows)) if union.find(k) != k]
         return [a for a, _ in ties], [b for _, b in ties]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caches.use("neardup")
-        key, rows, a, b = None, [], [], []
+        key, rows = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if len(rows) > 1:
+                a, b = unit(rows, key[1] == key[2])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
         for batch in batches:
-            for root, i, j, rep, block, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for root, i, j, rep, part, block, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if (root, i, j) != key:
-                    if len(rows) > 1 and (key[1] == key[2] or {r[0] for r in rows} == {key[1], key[2]}):
-                        x, y = unit(rows)
-                        a, b = a + x, b + y
+                    yield from close()
                     key, rows = (root, i, j), []
-                rows.append((block, rep, data))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-                a, b = [], []
-        if len(rows) > 1 and (key[1] == key[2] or {r[0] for r in rows} == {key[1], key[2]}):
-            a, b = unit(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                rows.append((block, rep, part, data))
+        yield from close()
 
     return units.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(work, "a long, b long")
 
 
+def links(reps: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): links that join all sets of one component, from (rep, sketch, size) and (doc_id, text)."""
+    listed, centres = inverted_lists(reps, scratch)
+    # members of lists are of no bounded size: what belongs to them is dealt out once, at any size in the same way
+    ids = scratch.save(listed.select("rep").distinct(), "members").hint("merge")
+    sketch = lambda raw: np.frombuffer(raw, np.uint64)
+    sketches_ = scratch.save(reps.join(ids, "rep", "left_semi").select("rep", F.col("sketch").alias("data"), "size"), "member-sketches")
+    whole = texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("data")).join(ids, "rep", "left_semi")
+    whole = scratch.save(whole.dropDuplicates(["rep", "data"]), "member-texts")
+
+    def verified_pairs(pairs: DataFrame, name: str) -> DataFrame:
+        close = scratch.save(compare_pairs(pairs, sketches_.drop("size"), sketch, may_reach).distinct(), f"{name}-close")
+        return scratch.save(compare_pairs(close, whole, shingles, reaches), f"{name}-links")
+
+    stars = scratch.save(listed.join(centres, "key").where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
+    first = verified_pairs(stars, "stars")
+    joined = components(first, scratch)
+    named = listed.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("part"))
+    several = named.groupBy("key").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most").select("key")
+    # a list of two is its star
+    still_open = scratch.save(named.where("n > 2").join(several, "key"), "open")
+    short = still_open.where(F.col("n") <= SMALL_LIST).select("key", "rep", "part")
+    across = short.toDF("key", "a", "part_a").join(short.toDF("key", "b", "part_b"), "key").where("a < b and part_a <> part_b").select("a", "b").distinct()
+    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = verified_pairs(across.join(tried, ["a", "b"], "left_anti"), "across")
+    out = first.unionByName(second)
+
+    long = still_open.where(F.col("n") > SMALL_LIST)
+    if long.isEmpty():
+        return out
+    # documents that hang together by long lists meet once, whatever number of lists they share
+    ties = long.join(centres, "key").where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
+    group = scratch.save(components(ties, scratch), "long").withColumnRenamed("node", "rep")
+    part = scratch.save(long.select("rep", "part").distinct(), "parts")
+    members = group.join(part, "rep").join(sketches_, "rep")
+    near = scratch.save(components(compare_blocks(members, "data", sketch, estimated, 0), scratch), "near").withColumnRenamed("node", "rep")
+    sizes = sketches_.groupBy("rep").agg(F.max("size").alias("size"))
+    return out.unionByName(compare_blocks(near.join(part, "rep").join(sizes, "rep").join(whole, "rep"), "data", shingles, verified, 1))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row for each row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marks = scratch.save(sketches(texts), "sketches")
     known = marks.where("digest is not null and doc_id is not null")
-    groups = scratch.save(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "groups")
+    one_set = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("size"))
+    groups = scratch.save(one_set, "groups")
     # rows that share an id are one node even if their texts differ
     same_id = known.groupBy("doc_id").agg(F.count_distinct("digest").alias("n")).where("n > 1").select("doc_id")
     several = known.join(same_id, "doc_id").join(groups.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    reps = groups.select("rep", "sketch").dropDuplicates(["rep", "sketch"])
-    loose = components(candidate_ties(reps, scratch), scratch)
-    members = reps.join(loose.withColumnRenamed("node", "rep"), "rep").select("root", "rep", "sketch")
-    sketch = lambda raw: np.frombuffer(raw, np.uint64)
-    close = scratch.save(components(compare_blocks(members, "sketch", sketch, estimated), scratch), "close")
-    whole = texts.join(close.withColumnRenamed("node", "doc_id"), "doc_id").select("root", F.col("doc_id").alias("rep"), "text")
-    found = compare_blocks(whole, "text", shingles, verified)
+    found = links(groups.select("rep", "sketch", "size"), texts, scratch)
     roots = scratch.save(components(found.unionByName(several), scratch), "roots")
     copies = groups.where("copies > 1").select("digest", F.col("rep").alias("first_id"))
     named = marks.select("doc_id", "n_shingles", "digest").join(copies, "digest", "left").withColumn("node", F.coalesce("first_id", "doc_id"))

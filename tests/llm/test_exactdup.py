@@ -6,6 +6,7 @@ import pytest
 
 from weft.llm import exactdup
 from weft.llm.queries import op6_repeated_bytes
+from weft.scratch import Scratch
 
 
 def brute(rows, length=exactdup.LENGTH):
@@ -52,12 +53,27 @@ def test_grams_hash_their_own_bytes_only():
     assert len(h) == len(data) - exactdup.GRAM + 1 and h[0] == h[26] == h[131] and len(set(h.tolist())) > 26
 
 
-@pytest.mark.parametrize("seed,small", [(1, False), (2, True)])
-def test_equals_brute_force(spark, tmp_path, monkeypatch, seed, small):
+def quoted(seed):
+    """One passage between different words in most documents."""
+    rng = random.Random(seed)
+    prose = lambda n: " ".join("w%d" % rng.randrange(900) for _ in range(n))
+    passage = prose(40)
+    return [(i, prose(rng.randrange(1, 25)) + rng.choice(["", " "]) + passage + prose(rng.randrange(1, 25))) for i in range(250)]
+
+
+@pytest.mark.parametrize("seed,small,hot", [(1, False, False), (2, True, False), (3, True, True)])
+def test_equals_brute_force(spark, tmp_path, monkeypatch, seed, small, hot):
     rows = corpus(seed)
     if small:  # many runs, ranges and parts
         for name, value in (("RUN_BYTES", 9000), ("RANGE_BYTES", 15000), ("PART_BYTES", 700)):
             monkeypatch.setattr(exactdup, name, value)
+    if hot:  # grams that fill ranges of their own
+        for name, value in (("RANGE_BYTES", 2000), ("RANGE_SAMPLES", 100), ("HOT_RANGES", 1)):
+            monkeypatch.setattr(exactdup, name, value)
+        rows = quoted(seed)
+        keyed = exactdup._keyed(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+        cuts = exactdup.splitters(keyed, Scratch(spark, "test"))
+        assert max(map(cuts.count, cuts)) > 1
     spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, start int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     got = op6_repeated_bytes(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == brute(rows)
@@ -82,3 +98,18 @@ def test_pack_round_trip():
     back = exactdup._unpack(run.pack())
     for a, b in zip(back, (run.right, run.right_size, run.left, run.left_size, run.where)):
         assert np.array_equal(a, b)
+
+
+def test_windows_of_hot_suffixes():
+    rng = random.Random(5)
+    texts = [(i, 1, bytes(rng.choice(b"ab") for _ in range(rng.randrange(90, 260)))) for i in range(40)] + [(50, 1, b"x" * 300), (51, 1, b"x" * 120)]
+    rows = exactdup.window_rows(exactdup.suffixes(texts))
+    by_hash, by_bytes = {}, {}
+    raw = {i: t for i, _, t in texts}
+    assert len(rows) == sum(max(0, len(t) - 99) for t in raw.values())
+    for a, b, i, _, start in rows.tolist():
+        by_hash.setdefault((a, b), set()).add((i, start))
+        by_bytes.setdefault(raw[i][start : start + 100], set()).add((i, start))
+    assert sorted(map(sorted, by_hash.values())) == sorted(map(sorted, by_bytes.values()))
+    first, late = exactdup.first_windows(rows)
+    assert {(i, s) for _, _, i, _, s in first.tolist()} == {min(v) for v in by_bytes.values()} and len(late) == len(rows) - len(by_bytes)

@@ -15,8 +15,9 @@ each with the bytes on its left that its windows reach.
    of the anchor in the window, pairs of neighbourhood numbers name the distinct windows; all but
    the earliest of each are repeated.
 
-A range holds about ``RANGE_BYTES`` of text. A passage that very many documents quote between
-different words still puts one suffix for each different surrounding at its two ends into one range.
+A range holds about ``RANGE_BYTES`` of text. Suffixes whose ``GRAM`` bytes would fill several ranges (the two ends of
+a passage that very many documents quote between different words) take another way: each run gives every one of
+their windows once, under a 128-bit hash that deals them over all ranges, and all but the earliest are repeated.
 
 Edge cases. A null text is empty; texts under ``LENGTH`` bytes stay whole. A null id counts as larger
 than any other. Rows equal in id and text are one document, given for each row; rows that share only the
@@ -34,12 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.runs import cut_keys, loser_tree_merge
+from weft.llm.words import mixed
 from weft.scratch import Scratch
 
 LENGTH, GRAM = 100, 20
 RUN_BYTES, RANGE_BYTES, RANGE_SAMPLES, RUN_LEVEL = 6 << 20, 12 << 20, 64, 3
 #: Repeats inside a run cross the exchange in pieces of so many rows.
 REPEAT_ROWS = 8192
+#: Grams that fill more ranges than that are dealt out window by window.
+HOT_RANGES = 2
 #: Documents longer than this are worked on in overlapping parts.
 PART_BYTES = 4 << 20
 LEFT = LENGTH - GRAM
@@ -261,6 +265,39 @@ def repeats(merged: _Suffixes, shared: np.ndarray) -> np.ndarray:
 
 
 _MARKS = "id long, tag long, start long, end long"
+_VALUES = np.random.default_rng(31).integers(1, 1 << 63, (2, 256), np.uint64)
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+
+def window_rows(hot: _Suffixes) -> np.ndarray:
+    """Two hashes, id, tag and start of every window that the suffixes serve."""
+    out = []
+    powers = []
+    for base in _BASES:
+        inverse = pow(base, -1, 1 << 64)
+        powers.append([np.array([pow(b, k + shift, 1 << 64) for k in range(LENGTH + 1)], np.uint64) for b, shift in ((base, 0), (inverse, 1))])
+    with np.errstate(over="ignore"):
+        # sums over the right side forwards and over the left side backwards: a window's hash is their sum, moved to its start
+        right = [np.cumsum(_VALUES[i][hot.right] * powers[i][0][:LENGTH], 1, dtype=np.uint64) for i in (0, 1)]
+        left = [np.concatenate([np.zeros((len(hot), 1), np.uint64), np.cumsum(_VALUES[i][hot.left] * powers[i][1][:LEFT], 1, dtype=np.uint64)], 1) for i in (0, 1)]
+        for offset in range(LEFT + 1):
+            at = np.flatnonzero((hot.where[:, 3] <= offset) & (offset <= hot.left_size))
+            if len(at):
+                hashes = [(right[i][at, LENGTH - offset - 1] + left[i][at, offset]) * powers[i][0][offset] for i in (0, 1)]
+                out.append(np.stack([*(mixed(h).view(np.int64) for h in hashes), hot.where[at, 0], hot.where[at, 1], hot.where[at, 2] - offset], 1))
+    return np.concatenate(out) if out else np.zeros((0, 5), np.int64)
+
+
+def first_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest row of each window, and (id, tag, start, end) of the others."""
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 4], rows[:, 2], rows[:, 1], rows[:, 0]))]
+    again = np.zeros(len(rows), bool)
+    again[1:] = (rows[1:, :2] == rows[:-1, :2]).all(1)
+    # rows equal in id, tag and start are one place
+    origin = np.maximum.accumulate(np.where(again, 0, np.arange(len(rows))))
+    same = (rows[:, 2:] == rows[origin, 2:]).all(1)
+    late = rows[again & ~same]
+    return rows[~again], np.stack([late[:, 2], late[:, 3], late[:, 4], late[:, 4] + LENGTH], 1)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -307,8 +344,9 @@ def splitters(keyed: DataFrame, scratch: Scratch) -> list[bytes]:
 def find_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, tag, start, end): byte ranges covered by windows that occur earlier; they may overlap."""
     keyed = _keyed(docs, id_col, text_col)
-    cuts = splitters(keyed, scratch)
-    edges = np.array(cuts, f"S{GRAM}") if cuts else np.zeros(0, f"S{GRAM}")
+    sampled = splitters(keyed, scratch)
+    cuts, times = np.unique(np.array(sampled, f"S{GRAM}"), return_counts=True) if sampled else (np.zeros(0, f"S{GRAM}"), np.zeros(0, int))
+    edges, crowded = cuts, cuts[times > HOT_RANGES]
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, size = [], 0
@@ -316,6 +354,10 @@ def find_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
         def run() -> Iterator[pa.RecordBatch]:
             ordered, found = sorted_run(suffixes(texts))
             grams = np.ascontiguousarray(ordered.right[:, :GRAM]).view(f"S{GRAM}").ravel()
+            hot, windows = np.isin(grams, crowded) if len(crowded) else np.zeros(len(grams), bool), None
+            if hot.any():
+                windows, late = first_windows(window_rows(ordered.take(hot)))
+                found, ordered, grams = np.concatenate([found, late]), ordered.take(~hot), grams[~hot]
             bounds = [0, *np.searchsorted(grams, edges, "left").tolist(), len(ordered)]
             numbers = [j for j in range(len(bounds) - 1) if bounds[j] < bounds[j + 1]]
             blobs = [ordered.take(slice(bounds[j], bounds[j + 1])).pack() for j in numbers]
@@ -323,6 +365,12 @@ def find_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
                 piece = found[lo : lo + REPEAT_ROWS]
                 numbers.append(int(piece[0, 1] + piece[0, 2]) % (len(edges) + 1))
                 blobs.append(b"R" + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(piece.T).tobytes()))
+            if windows is not None:
+                target = (windows[:, 0].view(np.uint64) % np.uint64(len(edges) + 1)).astype(np.int64)
+                order = np.argsort(target, kind="stable")
+                for part in np.split(order, np.flatnonzero(np.diff(target[order])) + 1):
+                    numbers.append(int(target[part[0]]))
+                    blobs.append(b"W" + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(windows[part].T).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], ["range_id", "run"])
 
         for batch in batches:
@@ -338,7 +386,10 @@ def find_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
     def merged(blobs: list[bytes]) -> pa.RecordBatch:
         opener = zstandard.ZstdDecompressor()
         found = [np.frombuffer(opener.decompress(b[1:]), np.int64).reshape(4, -1).T for b in blobs if b[:1] == b"R"]
-        parts = [_Suffixes(*_unpack(b)) for b in blobs if b[:1] != b"R"]
+        windows = [np.frombuffer(opener.decompress(b[1:]), np.int64).reshape(5, -1).T for b in blobs if b[:1] == b"W"]
+        if windows:
+            found.append(first_windows(np.concatenate(windows))[1])
+        parts = [_Suffixes(*_unpack(b)) for b in blobs if b[:1] not in (b"R", b"W")]
         if parts:
             found.append(repeats(*merge_runs(parts)))
         rows = np.concatenate(found)
@@ -358,7 +409,7 @@ def find_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
 
     runs = keyed.select("id", "tag", "text").mapInArrow(sort, "range_id int, run binary")
     # a partition for each range, at any number of ranges
-    return runs.repartitionById(len(cuts) + 1, "range_id").sortWithinPartitions("range_id").mapInArrow(merge, _MARKS)
+    return runs.repartitionById(len(edges) + 1, "range_id").sortWithinPartitions("range_id").mapInArrow(merge, _MARKS)
 
 
 def joined_ranges(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:

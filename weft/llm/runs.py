@@ -18,8 +18,8 @@ FEW_KEYS = 20_000
 
 
 def cut_keys(keys: DataFrame, parts: int) -> list[bytes]:
-    """At most ``parts`` - 1 distinct keys that cut the rows of ``keys`` (one binary column) into parts of equal
-    size. A sample beyond ``FEW_KEYS`` is sorted by the executors; the driver gets the cuts only."""
+    """``parts`` - 1 keys in order that cut the rows of ``keys`` (one binary column) into parts of equal size; a key
+    that fills several parts is there several times. A sample beyond ``FEW_KEYS`` is sorted by the executors; the driver gets the cuts only."""
     if parts < 2:
         return []
     n = keys.count()
@@ -29,7 +29,7 @@ def cut_keys(keys: DataFrame, parts: int) -> list[bytes]:
     else:
         places = {n * j // parts for j in range(1, parts)}
         found = keys.orderBy(keys.columns[0]).rdd.zipWithIndex().filter(lambda x: x[1] in places).map(lambda x: bytes(x[0][0])).collect()
-    return sorted(set(found))
+    return sorted(found)
 
 
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:

@@ -186,7 +186,7 @@ def splitters(pages: DataFrame, ranges: int, rows: int, scratch: Scratch, id_col
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([_entry_key(u, _stamp(at), i) for i, u, at in zip(*(c.to_pylist() for c in batch.columns))], pa.binary())], ["key"])
 
-    return cut_keys(scratch.save(few.select("page_id", "url", "at").mapInArrow(keys, "key binary"), "keys"), ranges)
+    return sorted(set(cut_keys(scratch.save(few.select("page_id", "url", "at").mapInArrow(keys, "key binary"), "keys"), ranges)))
 
 
 def capture_index(manifest: DataFrame, cuts: list[bytes], archives: int) -> DataFrame:

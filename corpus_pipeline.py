@@ -2,8 +2,12 @@
 
 Toxic documents go, one document of each near-duplicate group stays, documents that hold
 benchmark items go, personal data in the texts is replaced, and what is left is packed into
-sequences. All but the last stage return the columns of ``documents``. Nulls, empty texts, ties,
-repeated rows, empty tables and clashing columns are dealt with as each operator's module says.
+sequences. All but the last stage return the columns of ``documents``.
+
+Rows without an id stay unless they are toxic or hold a benchmark item; they are no one's duplicate. Null and empty texts stay
+and are packed as their end mark. Rows of one id count as one document in the second stage, as rows of their own in
+all others. Of equal similarity the smallest id stays. Further columns of any name go along; an empty table, or one
+that a stage empties, gives an empty result. Without labels or benchmark items their stages keep everything.
 """
 
 from __future__ import annotations

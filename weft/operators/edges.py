@@ -118,13 +118,14 @@ def parents_by_name(replies: DataFrame) -> DataFrame:
     return replies.select("post_id", "comment_id", "ordinal").join(found, ["post_id", "comment_id"], "left")
 
 
-def similar_posts(tags: DataFrame, max_tag_posts: int | None = None) -> DataFrame:
+def similar_posts(tags: DataFrame, min_score: float | None = None) -> DataFrame:
     """post_a, post_b, n_shared, score: pairs that share a tag, by Jaccard (4 places, half to even).
 
-    From post_id, tag, distinct. An equi-join on the tag: no pair without a shared tag is ever made.
-    ``max_tag_posts`` leaves out tags on more posts than that; by default nothing is left out."""
-    if max_tag_posts:
-        tags = tags.join(tags.groupBy("tag").agg(F.count("*").alias("n")).where(F.col("n") <= max_tag_posts).select("tag"), "tag")
+    From post_id, tag, distinct. An equi-join on the tag: no pair without a shared tag is ever made. With
+    ``min_score`` only pairs that reach it: two such posts share one of the rarest tags of both, so a post's most
+    frequent tags, as many as it can do without, make no pairs, and hot tags drop out of the join."""
+    if min_score is not None:
+        return _similar_from(tags, min_score)
     sizes = tags.groupBy("post_id").agg(F.count("*").alias("size"))
     sized = tags.join(sizes, "post_id")
     a = sized.select("tag", F.col("post_id").alias("post_a"), F.col("size").alias("size_a"))
@@ -134,6 +135,19 @@ def similar_posts(tags: DataFrame, max_tag_posts: int | None = None) -> DataFram
     return shared.select("post_a", "post_b", "n_shared", F.bround(score, 4).alias("score"))
 
 
+def _similar_from(tags: DataFrame, min_score: float) -> DataFrame:
+    spread = tags.groupBy("tag").agg(F.count("*").alias("df"))
+    sets = tags.join(spread, "tag").groupBy("post_id").agg(F.sort_array(F.collect_list(F.struct("df", "tag"))).alias("s")).select("post_id", F.col("s.tag").alias("tags"))
+    # a partner shares at least min_score of the tags, so it has one of the others and one more
+    prefix = F.slice("tags", F.lit(1), (F.size("tags") - F.ceil(F.size("tags") * F.lit(min_score) - 1e-9) + 1).cast("int"))
+    rare = sets.select("post_id", F.explode(prefix).alias("tag"))
+    pairs = rare.toDF("post_a", "tag").join(rare.toDF("post_b", "tag"), "tag").where("post_a < post_b").select("post_a", "post_b").distinct()
+    both = pairs.join(sets.toDF("post_a", "tags_a"), "post_a").join(sets.toDF("post_b", "tags_b"), "post_b")
+    counted = both.withColumn("n_shared", F.size(F.array_intersect("tags_a", "tags_b")).cast("long"))
+    score = F.col("n_shared") / (F.size("tags_a") + F.size("tags_b") - F.col("n_shared"))
+    return counted.withColumn("score", score).where(F.col("score") >= min_score).select("post_a", "post_b", "n_shared", F.bround("score", 4).alias("score"))
+
+
 def hashtag_nodes(tags: DataFrame) -> DataFrame:
     """hashtag, frequency, post_ids: one node a tag over all posts, the ids sorted."""
     one = tags.select("post_id", F.explode("hashtags").alias("hashtag")).distinct()

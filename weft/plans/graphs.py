@@ -171,6 +171,17 @@ def e_sample_tags(spark, sf_dir):
     return edges.sample_tags(rows.select("post_id", F.array(F.lit("whole")).alias("hashtags")), rows.select("post_id", F.array("author_id", F.concat(F.lit("p"), F.expr("ordinal % 2"))).alias("hashtags")))
 
 
+@query(
+    "e_post_post_from",
+    """WITH t AS (SELECT DISTINCT event_id % 400 AS p, user_id % 60 AS tag FROM events), s AS (SELECT p, count(*) AS n FROM t GROUP BY 1),
+x AS (SELECT a.p AS post_a, b.p AS post_b, count(*) AS n FROM t a JOIN t b ON a.tag = b.tag AND a.p < b.p GROUP BY 1, 2)
+SELECT post_a, post_b, x.n AS n_shared, round_even(x.n::DOUBLE / (sa.n + sb.n - x.n), 4) AS score FROM x JOIN s sa ON sa.p = post_a JOIN s sb ON sb.p = post_b WHERE x.n::DOUBLE / (sa.n + sb.n - x.n) >= 0.4""",
+)
+def e_post_post_from(spark, sf_dir):
+    tags = table(spark, sf_dir, "events").select((F.col("event_id") % 400).alias("post_id"), (F.col("user_id") % 60).alias("tag")).distinct()
+    return edges.similar_posts(tags, 0.4)
+
+
 @query("e_user_comment", f"WITH {COMMENTS_SQL} SELECT author_id AS user_id, comment_id, 'author' AS relation_type FROM comments WHERE ordinal % 5 <> 4")
 def e_user_comment(spark, sf_dir):
     return edges.user_comment_edges(comments(spark, sf_dir).withColumn("author_id", F.when(F.col("ordinal") % 5 != 4, F.col("author_id"))))

@@ -332,7 +332,16 @@ def m_embedded_counts(spark, sf_dir):
     return rows.select("page_id", r["like"].alias("likes"), r["love"].alias("loves"), extract.share_count(b).alias("shares"), extract.comment_count(b, F.col("page_id").cast("string")).alias("n_comments"), extract.post_links(b, F.lit("s")).alias("links"))
 
 
-@query("m_html_text")
+BLANKS = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+
+
+@query(
+    "m_html_text",
+    rf"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<![^>]*>', '', 'g'), '(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>', '', 'g') AS h FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(h, '(?i)<img\b[^>]*?\balt="([^"]*)"[^>]*>', '\1', 'g'), '(?i)<(br|p|div|li|h1|h2|h3|tr)(\s[^>]*)?/?>', chr(10), 'g'), '<[a-zA-Z/][^>]*>', '', 'g') AS h FROM a),
+c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS h FROM b)
+SELECT page_id, array_to_string(list_filter(list_transform(string_split(h, chr(10)), lambda x: trim(regexp_replace(x, '{BLANKS}+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM c""",
+)
 def m_html_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", extract.html_text(F.col("html")).alias("text"))
 

@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 from weft.functions import extract, lists, text, urls
 from weft.operators import edges, merge
 from weft.plans.catalog import query
-from weft.plans.registry import SHAPES_SQL, found_sql
+from weft.plans.registry import BLANKS, SHAPES_SQL, found_sql
 from weft.plans.standins import RICH_SQL, interactions, rich_text, table
 from weft.sources import io
 
-BLANKS = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
-
-
 def strip_sql(c: str) -> str:
     return f"regexp_replace({c}, '^{BLANKS}+|{BLANKS}+$', '', 'g')"
 

@@ -10,10 +10,10 @@
 3. Candidates are pairs from the lists. First every member meets its list's centre, the member with the
    longest lists. The estimate from the union's sketch drops pairs that can't reach the threshold (``LEAST``
    of its values in common: below once in 10^8 pairs at the threshold); the others are compared with full sets
-   taken from the whole texts. What those links join needs no more pairs.
-4. Lists whose members are still in several components give the pairs across them: one by one in lists of
+   taken from the whole texts. Documents linked to one centre are a part and need no more pairs.
+4. Lists whose members are still of several parts give the pairs across them: one by one in lists of
    up to ``SMALL_LIST`` members, longer ones in blocks of bounded size in which members of the largest
-   component don't meet each other. Blocks give back one tie a document, never pairs.
+   part don't meet each other. Blocks give back one tie a document, never pairs.
 
 Edge cases. A null or empty text has no shingles, links with nothing and is kept; so does and is
 a row without an id. Rows of one doc_id are one node. An empty table gives an empty result.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from weft.llm import caches, words
 from weft.llm.graph import components
-from weft.llm.scratch import Scratch
+from weft.scratch import Scratch
 
 SHINGLE, SKETCH, LISTED, RUN, SMALL_SET = 5, 96, 72, 3, 8
 #: Of so many values of a union's whole sketch, two sets of similarity 0.75 have fewer than ``LEAST`` in common
@@ -139,11 +139,12 @@ def reaches(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * n >= PERCENT * (len(a) + len(b) - n)
 
 
-def compare_pairs(pairs: DataFrame, payloads: DataFrame, read: Callable, judge: Callable) -> DataFrame:
+def compare_pairs(pairs: DataFrame, payloads: DataFrame, read: Callable, judge: Callable, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) that ``judge`` accepts; ``payloads`` is (rep, data).
 
     Each b stands in front of at most about ``CENTRE_ROWS`` of its partners, which stream past it."""
     crowded = pairs.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > CENTRE_ROWS).select("b", F.ceil(F.col("n") / CENTRE_ROWS).alias("salts"))
+    crowded = scratch.save(crowded, "crowded")  # one row for each CENTRE_ROWS pairs at most: as a saved table its size is known to the planner
     dealt = pairs.join(crowded, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
     front = dealt.select(F.col("b").alias("rep"), "b", "salt", F.lit(0).alias("role")).distinct()
     rows = front.unionByName(dealt.select(F.col("a").alias("rep"), "b", "salt", F.lit(1).alias("role"))).join(payloads, "rep")
@@ -209,37 +210,33 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def estimated(sets: list[np.ndarray], allowed: np.ndarray) -> _Union:
-    """Ties of sketches whose union's sketch doesn't rule the threshold out."""
-    shared, union = overlaps(sets), _Union(len(sets))
-    sizes = np.array([len(s) for s in sets])
+def verified(sets: list[np.ndarray], allowed: np.ndarray) -> _Union:
+    """Ties of full sets that reach the threshold, among allowed pairs that their sketches don't rule out."""
+    union, sketches_ = _Union(len(sets)), [s[:SKETCH] for s in sets]
+    sizes = np.array([len(s) for s in sketches_])
     # what a union's whole sketch has in common, both sketches have
     least = np.where(np.maximum(sizes[:, None], sizes[None]) < SKETCH, np.ceil(PERCENT / 100 * np.maximum(sizes[:, None], sizes[None])), LEAST)
-    for a, b in zip(*np.nonzero(np.triu(allowed & (shared >= least) & (shared > 0), 1))):
-        if union.find(a) != union.find(b) and may_reach(sets[a], sets[b]):
-            union.tie(a, b)
-    return union
-
-
-def verified(sets: list[np.ndarray], allowed: np.ndarray) -> _Union:
-    """Ties of full sets that reach the threshold."""
-    union, sizes = _Union(len(sets)), np.array([len(s) for s in sets])
-    shared = overlaps(sets)
-    linked = allowed & (100 * shared >= PERCENT * (sizes[:, None] + sizes[None] - shared))
+    maybe = allowed & (overlaps(sketches_) >= np.maximum(least, 1))
+    at = np.flatnonzero(maybe.any(0) | maybe.any(1))
+    if not len(at):
+        return union
+    full = [sets[k] for k in at]
+    shared, sizes = overlaps(full), np.array([len(s) for s in full])
+    linked = maybe[np.ix_(at, at)] & (100 * shared >= PERCENT * (sizes[:, None] + sizes[None] - shared))
     for a, b in zip(*np.nonzero(np.triu(linked, 1))):
-        union.tie(a, b)
+        union.tie(int(at[a]), int(at[b]))
     return union
 
 
-def compare_blocks(members: DataFrame, payload: str, read: Callable, judge: Callable, weight: int) -> DataFrame:
-    """(a, b): ties that ``judge`` finds inside each group of ``members`` (root, rep, part, size, payload)
-    between members of different ``part``.
+def compare_blocks(members: DataFrame) -> DataFrame:
+    """(a, b): ties of the links inside each group of ``members`` (root, rep, part, size, data: text) between
+    members of different ``part``.
 
-    A group is dealt into blocks of about ``BLOCK`` members, and ``BLOCK_SHINGLES`` shingles if ``weight`` is 1 rather
-    than 0, those of its largest part apart from the others; each pair of blocks is a unit of work of bounded size, wherever its
-    rows lie, and pairs of blocks of the largest part are none."""
+    A group is dealt into blocks of about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles, those of its largest
+    part apart from the others; each pair of blocks is a unit of work of bounded size, wherever its rows lie, and
+    pairs of blocks of the largest part are none."""
     parts = members.groupBy("root", "part").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
-    blocks = lambda n, total: F.ceil(F.greatest(n / BLOCK, weight * total / BLOCK_SHINGLES)).cast("int")
+    blocks = lambda n, total: F.ceil(F.greatest(n / BLOCK, total / BLOCK_SHINGLES)).cast("int")
     largest = parts.groupBy("root").agg(F.max_by(F.struct("part", "n", "total"), F.struct("n", "part")).alias("big"), F.sum("n").alias("n_all"), F.sum("total").alias("total_all"))
     rest = largest.where("n_all > big.n").select(
         "root",
@@ -252,8 +249,8 @@ def compare_blocks(members: DataFrame, payload: str, read: Callable, judge: Call
     block = F.when(big, F.pmod(chance, F.col("big_blocks"))).otherwise(F.col("big_blocks") + F.pmod(chance, F.col("rest_blocks"))).cast("int")
     dealt = members.join(rest, "root").withColumn("block", block)
     others = F.sequence(F.when(big, F.col("big_blocks")).otherwise(F.lit(0)), F.col("big_blocks") + F.col("rest_blocks") - 1)
-    units = dealt.select("root", "rep", "part", "block", payload, F.explode(others).alias("other"))
-    units = units.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "part", "block", payload)
+    units = dealt.select("root", "rep", "part", "block", "data", F.explode(others).alias("other"))
+    units = units.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "part", "block", "data")
 
     def unit(rows: list[tuple], same: bool) -> tuple[list, list]:
         """Rows of a unit: block, rep, part, payload; ties of one block are found where it meets itself."""
@@ -262,7 +259,7 @@ def compare_blocks(members: DataFrame, payload: str, read: Callable, judge: Call
         allowed = part[:, None] != part[None]
         if not same:
             allowed &= blocks[:, None] != blocks[None]
-        union = judge([read(r[3]) for r in rows], allowed)
+        union = verified(list(sets_of([r[3] for r in rows])), allowed)
         ties = [(rows[k][1], rows[union.find(k)][1]) for k in range(len(rows)) if union.find(k) != k]
         return [a for a, _ in ties], [b for _, b in ties]
 
@@ -297,13 +294,14 @@ def links(reps: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     whole = scratch.save(whole.dropDuplicates(["rep", "data"]), "member-texts")
 
     def verified_pairs(pairs: DataFrame, name: str) -> DataFrame:
-        close = scratch.save(compare_pairs(pairs, sketches_.drop("size"), sketch, may_reach).distinct(), f"{name}-close")
-        return scratch.save(compare_pairs(close, whole, shingles, reaches), f"{name}-links")
+        close = scratch.save(compare_pairs(pairs, sketches_.drop("size"), sketch, may_reach, scratch).distinct(), f"{name}-close")
+        return scratch.save(compare_pairs(close, whole, shingles, reaches, scratch), f"{name}-links")
 
     stars = scratch.save(listed.join(centres, "key").where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
     first = verified_pairs(stars, "stars")
-    joined = components(first, scratch)
-    named = listed.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("part"))
+    # documents linked to one centre are one part; a coarser division would be as right and spare more pairs
+    joined = first.groupBy(F.col("a").alias("rep")).agg(F.min("b").alias("root"))
+    named = listed.join(joined, "rep", "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("part"))
     several = named.groupBy("key").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most").select("key")
     # a list of two is its star
     still_open = scratch.save(named.where("n > 2").join(several, "key"), "open")
@@ -318,12 +316,10 @@ def links(reps: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
         return out
     # documents that hang together by long lists meet once, whatever number of lists they share
     ties = long.join(centres, "key").where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
-    group = scratch.save(components(ties, scratch), "long").withColumnRenamed("node", "rep")
-    part = scratch.save(long.select("rep", "part").distinct(), "parts")
-    members = group.join(part, "rep").join(sketches_, "rep")
-    near = scratch.save(components(compare_blocks(members, "data", sketch, estimated, 0), scratch), "near").withColumnRenamed("node", "rep")
+    group = components(ties, scratch).withColumnRenamed("node", "rep")
     sizes = sketches_.groupBy("rep").agg(F.max("size").alias("size"))
-    return out.unionByName(compare_blocks(near.join(part, "rep").join(sizes, "rep").join(whole, "rep"), "data", shingles, verified, 1))
+    members = group.join(long.select("rep", "part").distinct(), "rep").join(sizes, "rep").join(whole, "rep")
+    return out.unionByName(compare_blocks(members))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -23,7 +23,6 @@ kept by :func:`drop_leaks`, which drops exactly the rows whose text holds an ite
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -48,23 +47,16 @@ FOUND = LEAKS.replace(", item_id", ", tag long, item_id")
 
 EDGES = ".,;:!?|#*$%&<>()[]\"'-_"
 _EDGE_SET = words.byte_set(EDGES.encode())
-_WIDE_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def _core(word: str) -> str:
     return word.strip(EDGES) or word
 
 
-def _plain(text: str | None) -> bytes:
-    """Lower case, ASCII blanks only."""
-    low = (text or "").lower()
-    return (low if low.isascii() else _WIDE_BLANKS.sub(" ", low)).encode()
-
-
 def hashes_of(texts: list[str | None]) -> list[np.ndarray]:
     """Hashes of the words of each text, without the signs around them."""
     out = []
-    plain = [_plain(t) for t in texts]
+    plain = [words.lower_text(t) for t in texts]
     for lo, hi in words.slices(list(map(len, plain)), 4 * words.CHUNK_BYTES):
         flat, counts = words.hash_words(plain[lo:hi], words.ALL_BLANKS, _EDGE_SET)
         out += np.split(flat, np.cumsum(counts)[:-1])

@@ -6,6 +6,8 @@ modulo 2^64 and mixed, so the work is a few passes over the bytes whatever the v
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 #: Bytes that are worked on together; cut where a word ends.
@@ -25,6 +27,15 @@ def byte_set(signs: bytes) -> np.ndarray:
 SIX_BLANKS, ALL_BLANKS = byte_set(b" \t\n\r\x0b\x0c"), byte_set(b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
 
 
+_WIDE_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def lower_text(text: str | None) -> bytes:
+    """Lower case, with ASCII blanks only: split at ``ALL_BLANKS`` it gives the words of ``str.split``."""
+    low = (text or "").lower()
+    return (low if low.isascii() else _WIDE_BLANKS.sub(" ", low)).encode()
+
+
 def _powers(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse, kept for a chunk's length."""
     if len(_POWERS[0]) >= n:
@@ -44,13 +55,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
-def _chunk(data: np.ndarray, blank: np.ndarray, edge: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of the words of one chunk, which ends with a word or a blank."""
+def _chunk(data: np.ndarray, blank: np.ndarray, edge: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of the words of one chunk, which ends with a word or a blank."""
     empty = blank[data]
     step = np.flatnonzero(np.diff(np.concatenate([[True], empty, [True]])))
     start, end = step[0::2], step[1::2]
     if not len(start):
-        return start, np.zeros(0, np.uint64)
+        return start, end, np.zeros(0, np.uint64)
     low, high = start, end
     if edge is not None:  # without the signs at both ends, unless the word has no others
         low, high = start.copy(), end.copy()
@@ -74,14 +85,15 @@ def _chunk(data: np.ndarray, blank: np.ndarray, edge: np.ndarray | None) -> tupl
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_VALUES[data] * power[: len(data)], out=sums[1:])
         h = (sums[high] - sums[low]) * inverse[low] + (high - low).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-    return start, mixed(h)
+    return start, end, mixed(h)
 
 
-def hash_words(texts: list[bytes], blank: np.ndarray = SIX_BLANKS, edge: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, one after the other, and the number of words of each text."""
+def find_words(texts: list[bytes], blank: np.ndarray = SIX_BLANKS, edge: np.ndarray | None = None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as one, start, end and hash of its words, and the number of words of each text."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    data = np.frombuffer(b"\n".join(texts), np.uint8)
-    starts, hashes, at = [], [], 0
+    whole = b"\n".join(texts)
+    data = np.frombuffer(whole, np.uint8)
+    parts, at = [], 0
     while at < len(data):
         end = min(len(data), at + CHUNK_BYTES)
         while end < len(data):  # back to the last blank, or on to the next one behind a word longer than a chunk
@@ -90,14 +102,18 @@ def hash_words(texts: list[bytes], blank: np.ndarray = SIX_BLANKS, edge: np.ndar
                 end = at + int(gaps[-1]) + 1
                 break
             end = min(len(data), end + CHUNK_BYTES)
-        start, h = _chunk(data[at:end], blank, edge)
-        starts.append(start + at)
-        hashes.append(h)
+        start, stop, h = _chunk(data[at:end], blank, edge)
+        parts.append((start + at, stop + at, h))
         at = end
-    start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    start, stop, h = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
     bounds = np.append(0, np.cumsum(sizes + 1))
-    counts = np.diff(np.searchsorted(start, bounds))
-    return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), counts
+    return whole, start, stop, h, np.diff(np.searchsorted(start, bounds))
+
+
+def hash_words(texts: list[bytes], blank: np.ndarray = SIX_BLANKS, edge: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one after the other, and the number of words of each text."""
+    _, _, _, hashes, counts = find_words(texts, blank, edge)
+    return hashes, counts
 
 
 def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:

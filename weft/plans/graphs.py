@@ -91,7 +91,8 @@ def h_edge_index(spark, sf_dir):
 
 @query("h_edge_arrays", IDS_SQL + " SELECT post_id, src_kind, relation, dst_kind, list(src_idx ORDER BY src_idx, dst_idx) AS src_idx, list(dst_idx ORDER BY src_idx, dst_idx) AS dst_idx FROM idx GROUP BY 1, 2, 3, 4")
 def h_edge_arrays(spark, sf_dir):
-    return hetero.edge_arrays(_graph(spark, sf_dir)[1])
+    out = hetero.edge_arrays(_graph(spark, sf_dir)[1])
+    return out.withColumn("src_idx", F.col("src_idx").cast("array<bigint>")).withColumn("dst_idx", F.col("dst_idx").cast("array<bigint>"))
 
 
 @query("h_without_images", IDS_SQL + " SELECT 'node' AS part, kind AS type, count(*) AS n FROM ids WHERE kind <> 'image' GROUP BY 2 UNION ALL SELECT 'edge', src_kind || '|' || relation || '|' || dst_kind, count(*) FROM idx WHERE src_kind <> 'image' AND dst_kind <> 'image' GROUP BY 2")

@@ -32,8 +32,8 @@ def m_window(spark, sf_dir):
 
 @query(
     "m_label_reactions",
-    """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 1000 + page_id % 1000 WHEN 1 THEN 3 WHEN 2 THEN page_id ELSE 0 END AS likes, CASE WHEN page_id % 4 = 0 THEN 2000 WHEN page_id % 4 = 1 THEN 1 ELSE 0 END AS loves, CASE WHEN page_id % 4 = 1 THEN page_id ELSE 0 END AS angry,
- CASE WHEN page_id % 4 = 2 THEN 1200 ELSE 0 END AS comments, CASE WHEN page_id % 4 = 2 THEN 4000 ELSE 0 END AS shares FROM pages""",
+    """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 1000 + page_id % 1000 WHEN 1 THEN 3 WHEN 2 THEN page_id ELSE 0 END AS likes, CASE WHEN page_id % 4 = 0 THEN 2000::BIGINT WHEN page_id % 4 = 1 THEN 1 ELSE 0 END AS loves, CASE WHEN page_id % 4 = 1 THEN page_id ELSE 0 END AS angry,
+ CASE WHEN page_id % 4 = 2 THEN 1200::BIGINT ELSE 0 END AS comments, CASE WHEN page_id % 4 = 2 THEN 4000::BIGINT ELSE 0 END AS shares FROM pages""",
 )
 def m_label_reactions(spark, sf_dir):
     p = F.col("page_id")
@@ -78,7 +78,7 @@ def m_author(spark, sf_dir):
 PROFILE_SQL = """'<meta property="og:title" content=" N' || page_id || ' "><meta property="og:description" content="  a' || chr(9) || 'bio ' || page_id || '"><b>' || page_id || ' followers</b><b>2K friends</b>' || CASE WHEN page_id % 2 = 0 THEN '<i aria-label="Verified account"></i>Lives in Town ' || page_id || '</span>' ELSE '' END"""
 
 
-@query("m_profile", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'unknown' ELSE 'p' || page_id END AS user_id, 'N' || page_id AS display_name, 'a bio ' || page_id AS bio, nullif(page_id, 0) AS followers, 2000 AS friends, page_id % 2 = 0 AS verified, page_id % 3 = 0 AS is_page, CASE WHEN page_id % 2 = 0 THEN 'Town ' || page_id END AS location FROM pages")
+@query("m_profile", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'unknown' ELSE 'p' || page_id END AS user_id, 'N' || page_id AS display_name, 'a bio ' || page_id AS bio, nullif(page_id, 0) AS followers, 2000::BIGINT AS friends, page_id % 2 = 0 AS verified, page_id % 3 = 0 AS is_page, CASE WHEN page_id % 2 = 0 THEN 'Town ' || page_id END AS location FROM pages")
 def m_profile(spark, sf_dir):
     p = F.col("page_id")
     url = F.when(p % 3 == 0, "https://www.facebook.com/pages").otherwise(F.concat(F.lit("https://www.facebook.com/p"), p))
@@ -118,7 +118,7 @@ def m_comment_parents(spark, sf_dir):
     "m_posts",
     """SELECT CASE WHEN page_id % 5 = 4 THEN 'unknown_' || md5('https://www.facebook.com/x' || page_id)[:8] ELSE page_id::VARCHAR END AS post_id, CASE WHEN page_id % 5 = 4 THEN 'https://www.facebook.com/x' || page_id WHEN page_id % 5 = 3 THEN 'https://www.facebook.com/photo/?fbid=' || page_id ELSE 'https://www.facebook.com/page' || page_id || '/posts/' || page_id END AS post_url,
  'Hello  #tag' || page_id || ' @ann https://l.org' AS raw_text, 'Hello #tag' || page_id || ' @ann https://l.org' AS cleaned_text, ['tag' || page_id] AS hashtags, ['ann'] AS mentions, ['https://l.org'] AS external_links, 'owner' || page_id AS author_id, 'Owner' AS author_name, '1970-01-01T00:01:40+00:00' AS timestamp,
- ['https://scontent.x/' || page_id || '.jpg'] AS image_urls, CASE WHEN page_id % 2 = 0 THEN 7 ELSE page_id END AS like_count, 0 AS love_count, 9 AS comment_count, 4 AS share_count, CASE WHEN page_id % 2 = 0 THEN 7 ELSE page_id END AS total_reactions, 'Town' AS location, ['tagged'] AS tagged_users, CASE WHEN page_id % 5 = 3 THEN 'photo' ELSE 'post' END AS post_type FROM pages""",
+ ['https://scontent.x/' || page_id || '.jpg'] AS image_urls, CASE WHEN page_id % 2 = 0 THEN 7 ELSE page_id END AS like_count, 0::BIGINT AS love_count, 9::BIGINT AS comment_count, 4::BIGINT AS share_count, CASE WHEN page_id % 2 = 0 THEN 7 ELSE page_id END AS total_reactions, 'Town' AS location, ['tagged'] AS tagged_users, CASE WHEN page_id % 5 = 3 THEN 'photo' ELSE 'post' END AS post_type FROM pages""",
 )
 def m_posts(spark, sf_dir):
     p = F.col("page_id")

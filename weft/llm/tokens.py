@@ -4,6 +4,9 @@ The tokenizer never joins signs across white space and marks the last token of e
 words can be encoded once, many in one call, and cut apart at those marks. That call uses the
 same merges without the normaliser, which keeps places in the text that nobody asks for. Only
 printable ASCII and Latin-1 letters take that way; any other piece of text is encoded as it stands.
+
+The pieces of many texts are told apart by 64-bit hashes, counted off in one go, and their ids are put
+together from one flat array, so a piece costs no look-up of its own.
 """
 
 from __future__ import annotations
@@ -14,9 +17,10 @@ import os
 import re
 
 import numpy as np
+import pandas as pd
 import regex
 
-from weft.llm import caches
+from weft.llm import caches, words
 
 PLAIN_LINES = re.compile("[!-~À-ÖØ-öø-ÿ\n]+")
 CACHE_WORDS = 900_000
@@ -52,8 +56,13 @@ class WordTokens:
         self.is_end[[i for t, i in spec["model"]["vocab"].items() if t.endswith(self.end)]] = True
         self.merger = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}))
         self.tails = {c: self._ids(c).tobytes() for c in ".,;:!?|"}
-        self.pieces: dict[bytes, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Ids of all pieces seen: place by hash, first and number of ids by place, all ids."""
+        self.place: dict[int, int] = {}
+        self.first, self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u2")
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
@@ -63,14 +72,16 @@ class WordTokens:
         shown = "\n".join(words).encode().decode("latin-1").translate(_SHOWN)
         return np.array(self.merger.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u2")
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct pieces."""
+        out: dict[bytes, bytes] = {}
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         joined = b"\n".join(pieces).decode()
         if pieces and not PLAIN_LINES.fullmatch(joined):
             odd = [p for p in pieces if not PLAIN_LINES.fullmatch(p.decode())]
             for piece in odd:
-                self.pieces[piece] = self._ids(piece.decode()).tobytes()
+                out[piece] = self._ids(piece.decode()).tobytes()
             pieces = list(set(pieces).difference(odd))
             joined = b"\n".join(pieces).decode()
         cores, tails, mixed = [], [], []
@@ -94,9 +105,10 @@ class WordTokens:
                 self.known[word] = raw[start:end]
                 start = end
         known = self.known
-        self.pieces.update([(piece, known[w]) for piece, w in cores])
-        self.pieces.update([(piece, known[w] + tail) for piece, w, tail in tails])
-        self.pieces.update([(piece, b"".join([known[w] for w in ws])) for piece, ws in mixed])
+        out.update([(piece, known[w]) for piece, w in cores])
+        out.update([(piece, known[w] + tail) for piece, w, tail in tails])
+        out.update([(piece, b"".join([known[w] for w in ws])) for piece, ws in mixed])
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; pieces not seen before are learnt in one call."""
@@ -107,13 +119,32 @@ class WordTokens:
             gc.enable()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if "<|" in t else t.encode().split() for t in texts]
-        new = set().union(*(pieces for pieces in split if pieces))
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
-        self._learn(list(new.difference(self.pieces)))
-        look = self.pieces.__getitem__
-        return [self._ids(t).tobytes() if pieces is None else b"".join(map(look, pieces)) for t, pieces in zip(texts, split)]
+        odd = {k for k, t in enumerate(texts) if "<|" in t}
+        whole, start, end, hashes, counts = words.find_words([b"" if k in odd else t.encode() for k, t in enumerate(texts)])
+        codes, distinct = pd.factorize(hashes)
+        if len(self.place) + len(distinct) > CACHE_WORDS:
+            self._forget()
+        distinct = distinct.tolist()
+        at = np.fromiter((self.place.get(h, -1) for h in distinct), np.int64, len(distinct))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            seen = np.zeros(len(distinct), np.int64)
+            seen[codes[::-1]] = np.arange(len(codes))[::-1]  # where each stands first
+            pieces = [whole[a:b] for a, b in zip(start[seen[new]].tolist(), end[seen[new]].tolist())]
+            ids = self._learn(pieces)
+            own = [ids[p] for p in pieces]
+            size = np.fromiter(map(len, own), np.int64, len(own)) // 2
+            at[new] = np.arange(len(new)) + len(self.first)
+            self.place.update(zip([distinct[k] for k in new.tolist()], at[new].tolist()))
+            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+            self.count = np.concatenate([self.count, size])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(own), "<u2")])
+        at = at[codes]
+        size = self.count[at]
+        total = np.append(0, np.cumsum(size))
+        flat = self.flat[np.repeat(self.first[at] - total[:-1], size) + np.arange(total[-1])]
+        bounds = total[np.append(0, np.cumsum(counts))].tolist()
+        return [self._ids(t).tobytes() if k in odd else flat[bounds[k] : bounds[k + 1]].tobytes() for k, t in enumerate(texts)]
 
 
 _LOADED: dict[str, WordTokens] = {}

@@ -26,19 +26,20 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from weft.llm import caches
+from weft.llm import caches, words
 
 BUCKETS, STARTS = 1 << 18, (4, 5, 6)
 MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATE, MAX_SAMPLE_BYTES = 2000, 4000, 3000, 48 << 20
 LEAST_PRIOR, MOST_PRIOR = 0.01, 0.5
 FOLDS, HELD_OUT, ACCEPT = 4, 2, 0.3
 EPOCHS, RATE, DECAY, MIN_TEXTS, LEAST_Z = 60, 0.02, 1e-3, 4, 3.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -143,26 +144,45 @@ class PULearner:
         self.slope = float(1 / max(np.std(z), 1e-6))
         return self
 
-    def scorer(self):
-        """Function of a text; word weights are kept for a bounded number of words."""
+    def scorer(self) -> "Scorer":
+        return Scorer(self)
+
+
+class Scorer:
+    """Scores of texts; the weights of words are kept by their hashes, for a bounded number of words."""
+
+    def __init__(self, learner: PULearner):
+        self.learner = learner
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[int, int] = {}
+        self.values = np.zeros(0)
+
+    def _logits(self, texts: list[bytes]) -> np.ndarray:
+        whole, start, end, hashes, counts = words.find_words(texts, words.ALL_BLANKS)
+        codes, distinct = pd.factorize(hashes)
+        if len(self.place) + len(distinct) > CACHE_WORDS:
+            self._forget()
+        distinct = distinct.tolist()
+        at = np.fromiter((self.place.get(h, -1) for h in distinct), np.int64, len(distinct))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            seen = np.zeros(len(distinct), np.int64)
+            seen[codes[::-1]] = np.arange(len(codes))[::-1]  # where each stands first
+            weights = self.learner.weights
+            own = [float(sum(weights[b] for b in word_buckets(whole[i:j].decode()))) for i, j in zip(start[seen[new]].tolist(), end[seen[new]].tolist())]
+            at[new] = np.arange(len(new)) + len(self.values)
+            self.place.update(zip([distinct[k] for k in new.tolist()], at[new].tolist()))
+            self.values = np.concatenate([self.values, own])
+        sums = np.bincount(np.repeat(np.arange(len(texts)), counts), self.values[at[codes]], len(texts))
+        return self.learner.bias + sums / np.sqrt(np.maximum(counts, 1))
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        plain = [words.lower_text(t) for t in texts]
+        z = np.concatenate([np.zeros(0), *(self._logits(plain[lo:hi]) for lo, hi in words.slices(list(map(len, plain)), 4 * words.CHUNK_BYTES))])
         shift = float(np.log(ACCEPT / (1 - ACCEPT)))
-        weights = self.weights
-
-        class Words(dict):
-            def __missing__(self, word: str) -> float:
-                if len(self) >= CACHE_WORDS:
-                    self.clear()
-                self[word] = value = float(sum(weights[b] for b in word_buckets(word)))
-                return value
-
-        look = Words().__getitem__
-
-        def score(text: str | None) -> float:
-            words = (text or "").lower().split()
-            z = self.bias + (sum(map(look, words)) / len(words) ** 0.5 if words else 0.0)
-            return float(1 / (1 + np.exp(-np.clip(self.slope * (z - self.cut) + shift, -50, 50))))
-
-        return score
+        return 1 / (1 + np.exp(-np.clip(self.learner.slope * (z - self.learner.cut) + shift, -50, 50)))
 
 
 def _sampled(docs: DataFrame, ids: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -228,9 +248,9 @@ def _scored(docs: DataFrame, learner: PULearner | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caches.use("toxicity")
-        one = shared.value.scorer() if shared.value is not None else lambda text: 0.0
+        scores = shared.value.scorer() if shared.value is not None else lambda texts: np.zeros(len(texts))
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([one(t.as_py()) for t in batch.column(position)], pa.float64())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores(batch.column(position).to_pylist()), pa.float64())], names)
 
     return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField("__weft_score", DoubleType())]))
 

@@ -102,7 +102,7 @@ def encode_words(docs: DataFrame) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caches.use("decontam")
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([h.tobytes() for h in hashes_of(batch.column(2).to_pylist())], pa.binary())], ["doc_id", "tag", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([h.tobytes() for part in words.parts_of(batch.column(2)) for h in hashes_of(part)], pa.binary())], ["doc_id", "tag", "words"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text").mapInArrow(encode, "doc_id long, tag long, words binary")
 

@@ -81,7 +81,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         caches.use("neardup")
         for batch in batches:
             sizes, digests, own = [], [], []
-            for s in sets_of(batch.column(1).to_pylist()):
+            for s in (s for part in words.parts_of(batch.column(1)) for s in sets_of(part)):
                 sizes.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 own.append(s[:SKETCH].tobytes())

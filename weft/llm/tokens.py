@@ -24,6 +24,8 @@ from weft.llm import caches, words
 
 PLAIN_LINES = re.compile("[!-~À-ÖØ-öø-ÿ\n]+")
 CACHE_WORDS = 900_000
+#: Words whose ids are kept as objects, for new pieces made of them.
+KNOWN_WORDS = 300_000
 
 
 def _byte_signs() -> dict[int, str]:
@@ -61,7 +63,7 @@ class WordTokens:
 
     def _forget(self) -> None:
         """Ids of all pieces seen: place by hash, first and number of ids by place, all ids."""
-        self.place: dict[int, int] = {}
+        self.place = words.Places()
         self.first, self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u2")
 
     def _ids(self, text: str) -> np.ndarray:
@@ -75,7 +77,7 @@ class WordTokens:
     def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct pieces."""
         out: dict[bytes, bytes] = {}
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         joined = b"\n".join(pieces).decode()
         if pieces and not PLAIN_LINES.fullmatch(joined):
@@ -124,8 +126,7 @@ class WordTokens:
         codes, distinct = pd.factorize(hashes)
         if len(self.place) + len(distinct) > CACHE_WORDS:
             self._forget()
-        distinct = distinct.tolist()
-        at = np.fromiter((self.place.get(h, -1) for h in distinct), np.int64, len(distinct))
+        at = self.place.find(distinct)
         new = np.flatnonzero(at < 0)
         if len(new):
             seen = np.zeros(len(distinct), np.int64)
@@ -134,8 +135,7 @@ class WordTokens:
             ids = self._learn(pieces)
             own = [ids[p] for p in pieces]
             size = np.fromiter(map(len, own), np.int64, len(own)) // 2
-            at[new] = np.arange(len(new)) + len(self.first)
-            self.place.update(zip([distinct[k] for k in new.tolist()], at[new].tolist()))
+            at[new] = self.place.add(distinct[new])
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
             self.count = np.concatenate([self.count, size])
             self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(own), "<u2")])

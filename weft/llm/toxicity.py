@@ -156,7 +156,7 @@ class Scorer:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.place = words.Places()
         self.values = np.zeros(0)
 
     def _logits(self, texts: list[bytes]) -> np.ndarray:
@@ -164,16 +164,14 @@ class Scorer:
         codes, distinct = pd.factorize(hashes)
         if len(self.place) + len(distinct) > CACHE_WORDS:
             self._forget()
-        distinct = distinct.tolist()
-        at = np.fromiter((self.place.get(h, -1) for h in distinct), np.int64, len(distinct))
+        at = self.place.find(distinct)
         new = np.flatnonzero(at < 0)
         if len(new):
             seen = np.zeros(len(distinct), np.int64)
             seen[codes[::-1]] = np.arange(len(codes))[::-1]  # where each stands first
             weights = self.learner.weights
             own = [float(sum(weights[b] for b in word_buckets(whole[i:j].decode()))) for i, j in zip(start[seen[new]].tolist(), end[seen[new]].tolist())]
-            at[new] = np.arange(len(new)) + len(self.values)
-            self.place.update(zip([distinct[k] for k in new.tolist()], at[new].tolist()))
+            at[new] = self.place.add(distinct[new])
             self.values = np.concatenate([self.values, own])
         sums = np.bincount(np.repeat(np.arange(len(texts)), counts), self.values[at[codes]], len(texts))
         return self.learner.bias + sums / np.sqrt(np.maximum(counts, 1))
@@ -250,7 +248,7 @@ def _scored(docs: DataFrame, learner: PULearner | None) -> DataFrame:
         caches.use("toxicity")
         scores = shared.value.scorer() if shared.value is not None else lambda texts: np.zeros(len(texts))
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores(batch.column(position).to_pylist()), pa.float64())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0), *map(scores, words.parts_of(batch.column(position)))]), pa.float64())], names)
 
     return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField("__weft_score", DoubleType())]))
 

@@ -7,8 +7,10 @@ modulo 2^64 and mixed, so the work is a few passes over the bytes whatever the v
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes that are worked on together; cut where a word ends.
 CHUNK_BYTES = 1 << 20
@@ -116,6 +118,37 @@ def hash_words(texts: list[bytes], blank: np.ndarray = SIX_BLANKS, edge: np.ndar
     return hashes, counts
 
 
+class Places:
+    """Numbers of hashes in the order in which they came: two sorted arrays, 16 bytes a hash and no objects."""
+
+    def __init__(self):
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each hash, -1 for those that are new."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.numbers[at], -1)
+
+    def add(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of new, distinct hashes."""
+        numbers = np.arange(len(self), len(self) + len(hashes))
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes, self.numbers = np.insert(self.hashes, at, hashes[order]), np.insert(self.numbers, at, numbers[order])
+        return numbers
+
+
+def parts_of(column: pa.Array, rows: int = 1000) -> Iterator[list[str | None]]:
+    """Texts of a batch, some at a time."""
+    for lo in range(0, len(column), rows):
+        yield column.slice(lo, rows).to_pylist()
+
+
 def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
     """Neighbouring items of about ``limit`` together; one at least."""
     out, lo = [], 0

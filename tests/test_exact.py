@@ -37,3 +37,10 @@ def test_html_text_keeps_references_that_were_cut(spark, tmp_path):
     assert_same(spark, tmp_path, "m_html_text", pages=pa.table({"page_id": range(len(html)), "html": html}))
     texts = spark.createDataFrame([(h,) for h in ("&eacute;&#8217;&#x41;", "&ampb &notit;")], "h string").select(extract.html_text(F.col("h")).alias("t")).collect()
     assert [r.t for r in texts] == ["é’A", "&ampb &notit;"]
+
+
+def test_first_seen_takes_the_first_of_equal_places(spark, tmp_path):
+    n = 400
+    rows = {"l_orderkey": [k % 3 for k in range(n)], "l_partkey": [k % 7 for k in range(n)], "l_suppkey": list(range(n)), "l_linenumber": [1 + k % 2 for k in range(n)]}
+    types = pa.schema([("l_orderkey", pa.int64()), ("l_partkey", pa.int64()), ("l_suppkey", pa.int64()), ("l_linenumber", pa.int32())])
+    assert_same(spark, tmp_path, "f_first_seen", lineitem=pa.table(rows, schema=types))

@@ -181,7 +181,9 @@ def f_media_urls(spark, sf_dir):
 
 @query("f_first_seen", "SELECT l_partkey, arg_min(l_orderkey, (l_orderkey, l_linenumber)) AS l_orderkey, arg_min(l_suppkey, (l_orderkey, l_linenumber)) AS l_suppkey FROM lineitem GROUP BY 1")
 def f_first_seen(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_suppkey", F.struct("l_orderkey", "l_linenumber").alias("place"))
+    # lines under one number are told apart by their place in the table
+    place = F.struct("l_orderkey", "l_linenumber", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_suppkey", place.alias("place"))
     return edges.first_wins(rows, ["l_partkey"], "place").select("l_partkey", "l_orderkey", "l_suppkey")
 
 

@@ -44,3 +44,16 @@ def test_first_seen_takes_the_first_of_equal_places(spark, tmp_path):
     rows = {"l_orderkey": [k % 3 for k in range(n)], "l_partkey": [k % 7 for k in range(n)], "l_suppkey": list(range(n)), "l_linenumber": [1 + k % 2 for k in range(n)]}
     types = pa.schema([("l_orderkey", pa.int64()), ("l_partkey", pa.int64()), ("l_suppkey", pa.int64()), ("l_linenumber", pa.int32())])
     assert_same(spark, tmp_path, "f_first_seen", lineitem=pa.table(rows, schema=types))
+
+
+#: Values that a rounding takes to zero from below, halves, and others.
+NEAR_ZERO = [-1e-6, 1e-6, -4e-6, -6e-6, 0.000015, 0.000025, -0.000035, -0.0, 0.0, 0.25, -0.125, 1.000005]
+
+
+def _embeddings(n=12, size=64):
+    rows = [[NEAR_ZERO[(i + k) % len(NEAR_ZERO)] for k in range(size)] for i in range(n)]
+    return pa.table({"vec_id": range(n), "embedding": pa.array(rows, pa.list_(pa.float32())), "label": pa.array(range(n), pa.int32())})
+
+
+def test_concat_keeps_the_sign_of_zero(spark, tmp_path):
+    assert_same(spark, tmp_path, "v_concat", embeddings=_embeddings())

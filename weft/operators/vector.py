@@ -12,6 +12,15 @@ def as_double(v: Column) -> Column:
     return v.cast("array<double>")
 
 
+def rounded(x: Column, places: int) -> Column:
+    """Rounded half away from zero in double arithmetic, as SQL engines do; the sign of a value that becomes zero stays.
+
+    ``F.round`` goes over the decimal text of a number: it has no negative zero and other halves."""
+    scale = float(10**places)
+    # nan, infinity and what would overflow stay as they are
+    return F.when(F.abs(x) * scale < float("inf"), F.signum(x) * F.round(F.abs(x) * scale) / scale).otherwise(x)
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
@@ -97,4 +106,4 @@ def ntxent(logits: DataFrame, batch: str) -> DataFrame:
     top = logits.groupBy(batch, "i").agg(F.max("logit").alias("m"), F.max_by("j", F.struct("logit", -F.col("j"))).alias("best"), F.max(F.when(F.col("i") == F.col("j"), F.col("logit"))).alias("own"), F.collect_list("logit").alias("all"))
     spread = F.log(F.aggregate(F.sort_array("all"), F.lit(0.0), lambda s, x: s + F.exp(x - F.col("m")))) + F.col("m")
     rows = top.select(batch, (spread - F.col("own")).alias("loss"), (F.col("best") == F.col("i")).alias("hit"))
-    return rows.groupBy(batch).agg(F.round(F.when(F.count("*") > 1, F.avg("loss")).otherwise(0.0), 5).alias("loss"), F.round(F.avg(F.col("hit").cast("double")), 6).alias("accuracy"), F.count("*").alias("n"))
+    return rows.groupBy(batch).agg(rounded(F.when(F.count("*") > 1, F.avg("loss")).otherwise(0.0), 5).alias("loss"), rounded(F.avg(F.col("hit").cast("double")), 6).alias("accuracy"), F.count("*").alias("n"))

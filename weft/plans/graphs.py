@@ -273,7 +273,7 @@ def v_missing_images(spark, sf_dir):
 @query("v_concat", "SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: round(x, 5)) || CASE WHEN vec_id % 4 = 0 THEN [0.0, 0.0, 0.0]::DOUBLE[] ELSE [1.0, 2.0, vec_id]::DOUBLE[] END AS v FROM embeddings")
 def v_concat(spark, sf_dir):
     image = F.when(F.col("vec_id") % 4 != 0, F.array(F.lit(1.0), F.lit(2.0), F.col("vec_id").cast("double")))
-    return table(spark, sf_dir, "embeddings").select("vec_id", vector.padded_concat(F.transform(vector.as_double(F.col("embedding")), lambda x: F.round(x, 5)), image, 3).alias("v"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", vector.padded_concat(F.transform(vector.as_double(F.col("embedding")), lambda x: vector.rounded(x, 5)), image, 3).alias("v"))
 
 
 @query("v_weighted_pool", "WITH x AS (SELECT label, vec_id % 7 AS w, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings), m AS (SELECT label, d, sum(v * w) AS v FROM x GROUP BY 1, 2) SELECT label, list(round(v, 3) ORDER BY d) AS pooled FROM m GROUP BY 1")

@@ -57,3 +57,7 @@ def _embeddings(n=12, size=64):
 
 def test_concat_keeps_the_sign_of_zero(spark, tmp_path):
     assert_same(spark, tmp_path, "v_concat", embeddings=_embeddings())
+
+
+def test_missing_images_keep_the_sign_of_zero(spark, tmp_path):
+    assert_same(spark, tmp_path, "v_missing_images", embeddings=_embeddings(), pages=pa.table({"page_id": range(6)}))

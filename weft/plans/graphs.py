@@ -266,7 +266,7 @@ def v_embed_texts(spark, sf_dir):
 
 @query("v_missing_images", "SELECT page_id, CASE WHEN vec_id IS NULL THEN list_transform(range(64), lambda x: 0.0::DOUBLE) ELSE list_transform(embedding::DOUBLE[], lambda x: round(x, 5)) END AS vector FROM pages LEFT JOIN embeddings ON vec_id = 3 * page_id")
 def v_missing_images(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") / 3).alias("page_id"), F.transform(vector.as_double(F.col("embedding")), lambda x: F.round(x, 5)).alias("vector"))
+    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") / 3).alias("page_id"), F.transform(vector.as_double(F.col("embedding")), lambda x: vector.rounded(x, 5)).alias("vector"))
     return vector.with_missing(table(spark, sf_dir, "pages").select("page_id"), e.where("page_id = floor(page_id)").withColumn("page_id", F.col("page_id").cast("long")), "page_id", 64)
 
 

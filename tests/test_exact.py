@@ -61,3 +61,8 @@ def test_concat_keeps_the_sign_of_zero(spark, tmp_path):
 
 def test_missing_images_keep_the_sign_of_zero(spark, tmp_path):
     assert_same(spark, tmp_path, "v_missing_images", embeddings=_embeddings(), pages=pa.table({"page_id": range(6)}))
+
+
+def test_pooled_vectors_keep_the_sign_of_zero(spark, tmp_path):
+    assert_same(spark, tmp_path, "v_meanpool", embeddings=_embeddings())
+    assert_same(spark, tmp_path, "v_weighted_pool", embeddings=_embeddings())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weft.functions.text import mentions, short_md5_id, uuid5_hex
 from weft.functions.urls import user_id
+from weft.operators.vector import rounded
 
 # Weights of interactions.
 WEIGHTS = {"author": 10.0, "share": 5.0, "comment": 3.0, "love": 2.0, "care": 2.0, "wow": 1.5, "haha": 1.5, "sad": 1.5, "angry": 1.5, "like": 1.0}
@@ -194,4 +195,4 @@ def time_decay(rows: DataFrame, tau_seconds: float) -> DataFrame:
     before = last.select("key", "__hour", F.lag("__last").over(Window.partitionBy("key").orderBy("__hour")).alias("__before"))
     both = dealt.withColumn("__own", F.lag("ts").over(inside)).join(before, ["key", "__hour"])
     dt = (at - F.unix_micros(F.coalesce("__own", "__before"))) / 1e6
-    return both.withColumn("weight", F.round(F.exp(-dt / tau_seconds), 6)).drop("__hour", "__own", "__before")
+    return both.withColumn("weight", rounded(F.exp(-dt / tau_seconds), 6)).drop("__hour", "__own", "__before")

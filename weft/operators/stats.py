@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.operators.vector import rounded
+
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()]
@@ -20,7 +22,7 @@ def by_category(rows: DataFrame, category: str, target: int) -> DataFrame:
 
 
 def spread_per_post(counts: DataFrame, value: str) -> DataFrame:
-    return counts.agg(F.round(F.avg(value), 6).alias("mean"), F.max(value).alias("largest"), F.sum(value).alias("total"))
+    return counts.agg(rounded(F.avg(value), 6).alias("mean"), F.max(value).alias("largest"), F.sum(value).alias("total"))
 
 
 def rolling_count(rows: DataFrame, key: str, ts: str, seconds: int = 60, last: int = 100) -> DataFrame:
@@ -41,7 +43,7 @@ def ewma(rows: DataFrame, key: str, order: str, value: str, keep: float = 0.8) -
     """Smoothed value by key, from 0, in order: a row r places before the last weighs ``keep`` to the power of r."""
     back = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order))) - 1
     weighed = rows.select(key, (F.col(value) * (1 - keep) * F.pow(F.lit(keep), back)).alias("__x"))
-    return weighed.groupBy(key).agg(F.round(F.coalesce(F.sum("__x"), F.lit(0.0)), 6).alias("ewma"), F.count("*").alias("n"))
+    return weighed.groupBy(key).agg(rounded(F.coalesce(F.sum("__x"), F.lit(0.0)), 6).alias("ewma"), F.count("*").alias("n"))
 
 
 def backoff(rows: DataFrame, key: str, order: str, event: str, max_delay: float = 4.0, factor: float = 2.0, most: float = 300.0) -> DataFrame:

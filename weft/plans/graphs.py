@@ -279,7 +279,7 @@ def v_concat(spark, sf_dir):
 @query("v_weighted_pool", "WITH x AS (SELECT label, vec_id % 7 AS w, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings), m AS (SELECT label, d, sum(v * w) AS v FROM x GROUP BY 1, 2) SELECT label, list(round(v, 3) ORDER BY d) AS pooled FROM m GROUP BY 1")
 def v_weighted_pool(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").withColumn("w", F.col("vec_id") % 7)
-    return vector.pooled(e, "label", "embedding", "w").select("label", F.transform("pooled", lambda x: F.round(x, 3)).alias("pooled"))
+    return vector.pooled(e, "label", "embedding", "w").select("label", F.transform("pooled", lambda x: vector.rounded(x, 3)).alias("pooled"))
 
 
 @query("v_legacy_images", "SELECT page_id, list_transform(range(page_id % 3), lambda k: CASE WHEN page_id % 5 = 0 THEN 'img_new' ELSE page_id || '_img_' || lpad(k::VARCHAR, 3, '0') END)[:CASE WHEN page_id % 5 = 0 THEN 1 ELSE 9 END] AS image_ids FROM pages WHERE page_id % 5 <> 0 OR page_id % 3 > 0 UNION ALL SELECT page_id, ['img_new'] FROM pages WHERE page_id % 5 = 0 AND page_id % 3 = 0")

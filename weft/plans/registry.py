@@ -483,13 +483,13 @@ def a_run_counters(spark, sf_dir):
 @query("v_log1p", "SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: round(ln(1 + abs(x)), 6)) AS v FROM embeddings")
 def v_log1p(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", F.transform(vector.log1p(F.transform(vector.as_double(F.col("embedding")), F.abs)), lambda x: F.round(x, 6)).alias("v"))
+    return e.select("vec_id", F.transform(vector.log1p(F.transform(vector.as_double(F.col("embedding")), F.abs)), lambda x: vector.rounded(x, 6)).alias("v"))
 
 
 @query("v_meanpool", "WITH x AS (SELECT label, vec_id, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings), m AS (SELECT label, d, avg(v) AS v FROM x GROUP BY 1, 2) SELECT label, list(round(v, 5) ORDER BY d) AS pooled FROM m GROUP BY 1")
 def v_meanpool(spark, sf_dir):
     out = vector.pooled(table(spark, sf_dir, "embeddings"), "label", "embedding")
-    return out.select("label", F.transform("pooled", lambda x: F.round(x, 5)).alias("pooled"))
+    return out.select("label", F.transform("pooled", lambda x: vector.rounded(x, 5)).alias("pooled"))
 
 
 @query(
@@ -497,7 +497,7 @@ def v_meanpool(spark, sf_dir):
     f"WITH {COMMENTS_SQL}, d AS (SELECT post_id, parent_id AS comment_id, count(*) AS d FROM comments WHERE parent_id IS NOT NULL GROUP BY 1, 2), x AS (SELECT c.post_id, c.comment_id, coalesce(d.d, 0) AS d FROM comments c LEFT JOIN d USING (post_id, comment_id)) SELECT post_id, comment_id, d, round((1 + d) / sum(1 + d) OVER (PARTITION BY post_id), 6) AS alpha FROM x",
 )
 def v_topo_weight(spark, sf_dir):
-    return vector.topology_weights(comments(spark, sf_dir)).withColumn("alpha", F.round("alpha", 6))
+    return vector.topology_weights(comments(spark, sf_dir)).withColumn("alpha", vector.rounded(F.col("alpha"), 6))
 
 
 _PAIRS_SQL = """WITH p AS (SELECT a.vec_id // 32 AS batch, a.vec_id // 2 AS i, a.embedding::DOUBLE[] AS a, b.embedding::DOUBLE[] AS b FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0),
@@ -513,7 +513,7 @@ def _pairs(spark, sf_dir):
 
 @query("v_cosine", _PAIRS_SQL + " SELECT batch, i, j, round(l * 0.07, 5) AS cosine FROM l")
 def v_cosine(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("batch", "i", "j", F.round(F.col("logit") * vector.TEMPERATURE, 5).alias("cosine"))
+    return _pairs(spark, sf_dir).select("batch", "i", "j", vector.rounded(F.col("logit") * vector.TEMPERATURE, 5).alias("cosine"))
 
 
 @query("v_ntxent", _PAIRS_SQL + ", m AS (SELECT batch, i, max(l) AS m, arg_max(j, l) AS best, max(l) FILTER (i = j) AS own FROM l GROUP BY 1, 2), s AS (SELECT l.batch, l.i, ln(sum(exp(l - m))) + any_value(m) - any_value(own) AS loss, any_value(best) = l.i AS hit FROM l JOIN m ON l.batch = m.batch AND l.i = m.i GROUP BY 1, 2) SELECT batch, round(avg(loss), 5) AS loss, round(avg(hit::INT::DOUBLE), 6) AS accuracy, count(*) AS n FROM s GROUP BY 1")

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.operators.vector import rounded
+
 
 def _start(w: str = "w"):
     return F.unix_micros(F.col(f"{w}.start")).alias("start_us")
 
 
 def tumbling(events: DataFrame, size: str) -> DataFrame:
-    grouped = events.groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    grouped = events.groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), rounded(F.sum("value"), 4).alias("total"))
     return grouped.select(_start(), "event_type", "n", "total")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from weft.functions import extract
+from weft.operators import edges
 from weft.plans import catalog
 
 
@@ -66,3 +67,20 @@ def test_missing_images_keep_the_sign_of_zero(spark, tmp_path):
 def test_pooled_vectors_keep_the_sign_of_zero(spark, tmp_path):
     assert_same(spark, tmp_path, "v_meanpool", embeddings=_embeddings())
     assert_same(spark, tmp_path, "v_weighted_pool", embeddings=_embeddings())
+
+
+def test_similar_posts_of_many_tags_shuffle_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(edges, "CARRIED", 4, raising=False)
+    sets = {p: {(p * 7 + k * (1 + p % 3)) % 23 for k in range(1 + p % 9)} for p in range(40)}
+    rows = [(p, t) for p, s in sets.items() for t in s] + [(p, None) for p in (3, 5)]
+    got = edges.similar_posts(spark.createDataFrame(rows, "post_id long, tag long"))
+    size = {p: len(s) + (p in (3, 5)) for p, s in sets.items()}
+    pairs = [(a, b, len(sets[a] & sets[b])) for a in sets for b in sets if a < b and sets[a] & sets[b]]
+    want = {(a, b, n): n / (size[a] + size[b] - n) for a, b, n in pairs}
+    found = {(r.post_a, r.post_b, r.n_shared): r.score for r in got.collect()}
+    assert len(found) == got.count() and found.keys() == want.keys()
+    assert all(abs(found[k] - v) <= 0.00005 + 1e-9 for k, v in want.items())
+    # with few tags each, no exchange is dealt by a pair of posts
+    plan = edges.similar_posts(spark.createDataFrame([(1, 1), (2, 1)], "post_id long, tag long"))._jdf.queryExecution().optimizedPlan().toString()
+    near = plan.split("Union")[1].split("\n:- ")[-1] if "Union" in plan else plan
+    assert "array_intersect" in near and "Aggregate [post_a" not in near

@@ -119,21 +119,35 @@ def parents_by_name(replies: DataFrame) -> DataFrame:
     return replies.select("post_id", "comment_id", "ordinal").join(found, ["post_id", "comment_id"], "left")
 
 
+# Fixed value: posts of up to so many tags carry them along in a join; pairs with larger ones are counted one shared tag at a time.
+CARRIED = 64
+
+
 def similar_posts(tags: DataFrame, min_score: float | None = None) -> DataFrame:
     """post_a, post_b, n_shared, score: pairs that share a tag, by Jaccard (4 places, half to even).
 
-    From post_id, tag, distinct. An equi-join on the tag: no pair without a shared tag is ever made. With
+    From post_id, tag, distinct. An equi-join on the tag: no pair without a shared tag is ever made. Both posts bring
+    their tags, so a pair is counted where it is made, at the least tag it shares, and no pair is shuffled. With
     ``min_score`` only pairs that reach it: two such posts share one of the rarest tags of both, so a post's most
     frequent tags, as many as it can do without, make no pairs, and hot tags drop out of the join."""
     if min_score is not None:
         return _similar_from(tags, min_score)
-    sizes = tags.groupBy("post_id").agg(F.count("*").alias("size"))
-    sized = tags.join(sizes, "post_id")
-    a = sized.select("tag", F.col("post_id").alias("post_a"), F.col("size").alias("size_a"))
-    b = sized.select("tag", F.col("post_id").alias("post_b"), F.col("size").alias("size_b"))
-    shared = a.join(b, "tag").where("post_a < post_b").groupBy("post_a", "post_b", "size_a", "size_b").agg(F.count("*").alias("n_shared"))
+    sets = tags.where("post_id is not null").groupBy("post_id").agg(F.count("*").alias("size"), F.collect_list("tag").alias("tags"))
+    carried = sets.where(F.col("size") <= CARRIED).select("post_id", "size", "tags", F.explode("tags").alias("tag"))
+    a, b = [carried.toDF(*[c + end if c != "tag" else c for c in carried.columns]) for end in ("_a", "_b")]
+    common = F.array_intersect("tags_a", "tags_b")
+    met = a.join(b, "tag").where("post_id_a < post_id_b").withColumn("common", common).where(F.array_min("common") == F.col("tag"))
+    near = met.select(F.col("post_id_a").alias("post_a"), F.col("post_id_b").alias("post_b"), F.col("size_a"), F.col("size_b"), F.size("common").cast("long").alias("n_shared"))
+    sized = sets.select("post_id", "size", F.explode("tags").alias("tag"))
+    large, other = sized.where(F.col("size") > CARRIED).toDF("post_l", "size_l", "tag"), sized.toDF("post_o", "size_o", "tag")
+    # two large posts meet both ways round, one of which counts
+    ways = large.join(other, "tag").where((F.col("post_l") < F.col("post_o")) | ((F.col("post_l") > F.col("post_o")) & (F.col("size_o") <= CARRIED)))
+    far = ways.groupBy("post_l", "post_o", "size_l", "size_o").agg(F.count("*").alias("n_shared"))
+    first = F.col("post_l") < F.col("post_o")
+    pick = lambda l, o, name: F.when(first, F.col(l)).otherwise(F.col(o)).alias(name)
+    far = far.select(pick("post_l", "post_o", "post_a"), pick("post_o", "post_l", "post_b"), pick("size_l", "size_o", "size_a"), pick("size_o", "size_l", "size_b"), "n_shared")
     score = F.col("n_shared") / (F.col("size_a") + F.col("size_b") - F.col("n_shared"))
-    return shared.select("post_a", "post_b", "n_shared", F.bround(score, 4).alias("score"))
+    return near.unionByName(far).select("post_a", "post_b", "n_shared", F.bround(score, 4).alias("score"))
 
 
 def _similar_from(tags: DataFrame, min_score: float) -> DataFrame:

@@ -1,5 +1,6 @@
 """Small odd tables on which a query once differed from its statement, compared value by value with the sign of zero."""
 
+import glob
 import os
 
 import duckdb
@@ -12,6 +13,7 @@ import __spark_entry__ as entry
 from weft.functions import extract
 from weft.operators import edges
 from weft.plans import catalog
+from weft.sources import io
 
 
 def shown(columns, rows):
@@ -84,3 +86,18 @@ def test_similar_posts_of_many_tags_shuffle_no_pairs(spark, monkeypatch):
     plan = edges.similar_posts(spark.createDataFrame([(1, 1), (2, 1)], "post_id long, tag long"))._jdf.queryExecution().optimizedPlan().toString()
     near = plan.split("Union")[1].split("\n:- ")[-1] if "Union" in plan else plan
     assert "array_intersect" in near and "Aggregate [post_a" not in near
+
+
+def test_log_lines_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    n, folders, read = 3000, [], io.last_log_lines
+    monkeypatch.setattr(io, "last_log_lines", lambda session, folder, marker: folders.append(folder) or read(session, folder, marker))
+    kinds = ["error" if k % 3 == 0 and k < 2900 else "view" for k in range(n)]
+    users = [None if k % 50 == 0 else (-3, 2, 5)[k % 4 % 3] for k in range(n)]
+    rows = pa.table({"event_id": [k * 7919 % n for k in range(n)], "user_id": pa.array(users, pa.int64()), "event_type": kinds})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert_same(spark, tmp_path, "s_log_lines", events=rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = glob.glob(f"{folders[0].removeprefix('file://')}/worker=*/*.log")
+    assert len({f.rpartition("/")[0] for f in files}) == 4 and len(files) > 4

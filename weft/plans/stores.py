@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -174,16 +175,20 @@ def s_log_lines(spark, sf_dir):
     scratch = Scratch(spark, "stores")
     folder = scratch.path("logs")
     e = table(spark, sf_dir, "events")
-    lines = e.select((F.col("user_id") % 7).cast("string").alias("worker"), "event_id", F.concat("event_type", F.lit(" item "), "event_id").alias("value"))
-    lines.repartition(1).sortWithinPartitions("worker", "event_id").select("worker", "value").write.partitionBy("worker").text(folder)
+    lines = e.select((F.col("user_id") % 7).alias("worker"), "event_id", F.concat("event_type", F.lit(" item "), "event_id").alias("value"))
+    # a worker's log is rolled over: each task writes one range of it, numbered in the order of the lines
+    lines.repartitionByRange("worker", "event_id").sortWithinPartitions("worker", "event_id").select("worker", "value").write.partitionBy("worker").text(folder)
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     store = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    for worker in range(7):
-        for status in store.listStatus(fs_path(f"{folder}/worker={worker}")):
-            if status.getPath().getName().endswith(".txt"):
-                store.rename(status.getPath(), fs_path(f"{folder}/worker={worker}/run.log"))
+    for worker in store.listStatus(fs_path(folder)):
+        for status in store.listStatus(worker.getPath()) if worker.isDirectory() else ():
+            part = re.match(r"part-([0-9]+)-.*[.-]c([0-9]+)[.]txt$", status.getPath().getName())
+            if part:
+                store.rename(status.getPath(), fs_path(worker.getPath(), f"run-{int(part[1]):08d}-{int(part[2]):08d}.log"))
     found = io.last_log_lines(spark, folder, "error item")
-    return scratch.bind(found.select(F.regexp_extract("path", "worker=([0-9]+)", 1).cast("long").alias("worker"), F.regexp_extract("line", "([0-9]+)$", 1).cast("long").alias("last")))
+    # the last line of a worker stands in the last of its files that has one
+    last = found.groupBy(F.regexp_extract("path", "worker=(-?[0-9]*)", 1).try_cast("long").alias("worker")).agg(F.max_by("line", "path").alias("line"))
+    return scratch.bind(last.select("worker", F.regexp_extract("line", "(-?[0-9]+)$", 1).cast("long").alias("last")))
 
 
 @query("s_folder_size", "SELECT count(*) AS files, sum(length(n_name) + 1)::BIGINT AS bytes FROM nation")
